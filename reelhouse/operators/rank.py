@@ -40,12 +40,16 @@ def _proxy(col: Column, dtype) -> Column:
 
 def global_rank(df: DataFrame, order_col: str, ascending: bool = True, method: str = "rank",
                 out: str | None = None, nulls_last: bool | None = None,
-                buckets: int | None = None, total_col: str | None = None) -> DataFrame:
+                buckets: int | None = None, total_col: str | None = None,
+                extra: dict | None = None) -> DataFrame:
     """Add column ``out`` holding the whole-table rank of ``order_col``.
+    ``extra`` maps more output names to methods computed in the same pass;
     ``total_col`` (optional) receives the table's row count."""
-    if method not in ("rank", "dense_rank", "percent_rank", "row_number"):
-        raise ValueError(method)
-    out = out or method
+    methods = dict(extra or {})
+    methods[out or method] = method
+    for m in methods.values():
+        if m not in ("rank", "dense_rank", "percent_rank", "row_number"):
+            raise ValueError(m)
     if nulls_last is None:
         nulls_last = not ascending          # NULL is the smallest value
     spark = df.sparkSession
@@ -82,17 +86,20 @@ def global_rank(df: DataFrame, order_col: str, ascending: bool = True, method: s
     wk = Window.partitionBy("_b").orderBy(kord)
     ranked = counts.join(F.broadcast(offsets), "_b")
     before = F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    if method in ("rank", "percent_rank"):
-        r = F.col("_off") + before + 1
-    elif method == "dense_rank":
-        r = F.col("_doff") + F.row_number().over(wk)
-    else:  # row_number over a unique key
-        r = F.col("_off") + F.row_number().over(wk)
-    if method == "percent_rank":
-        r = F.when(F.col("_total") > 1, (r - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0))
-        ranked = ranked.select("_k", r.cast("double").alias(out), F.col("_total").alias("_rank_total"))
-    else:
-        ranked = ranked.select("_k", r.cast("long").alias(out), F.col("_total").alias("_rank_total"))
+    outs = []
+    for name, m in methods.items():
+        if m in ("rank", "percent_rank"):
+            r = F.col("_off") + before + 1
+        elif m == "dense_rank":
+            r = F.col("_doff") + F.row_number().over(wk)
+        else:  # row_number over a unique key
+            r = F.col("_off") + F.row_number().over(wk)
+        if m == "percent_rank":
+            r = F.when(F.col("_total") > 1, (r - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0))
+            outs.append(r.cast("double").alias(name))
+        else:
+            outs.append(r.cast("long").alias(name))
+    ranked = ranked.select("_k", *outs, F.col("_total").alias("_rank_total"))
     joined = df.join(ranked, key.eqNullSafe(F.col("_k")), "inner").drop("_k")
     if total_col:
         return joined.withColumnRenamed("_rank_total", total_col)

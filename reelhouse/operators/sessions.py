@@ -1,31 +1,63 @@
-"""Gap and session operators over an event log (LAG + running sum)."""
+"""Gap and session operators over an event log.
+
+A plain ``Window.partitionBy(user)`` sorts all of one user's events in one
+task; with one user holding a third of the log that task holds a third of
+the data. Here the per-event windows are partitioned by (key, day) and the
+days are stitched together on a per-(key, day) summary table:
+
+1. per (key, day): first/last timestamp and rows - one row per active day;
+2. on that summary, ``lag`` over the key gives the previous active day's
+   last timestamp (the summary of even a very busy key is small: one row
+   per day);
+3. events take their previous timestamp from the (key, day) window, or for
+   a day's first event from step 2;
+4. session numbers = running count of session starts within the day plus
+   the key's session starts on earlier days (again from the summary).
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _seconds_between(a, b):
+    """Whole seconds from a to b (microsecond difference, truncated)."""
+    micros = F.unix_micros(b.cast("timestamp")) - F.unix_micros(a.cast("timestamp"))
+    return F.floor(micros / F.lit(1000000)).cast("bigint")
+
+
 def with_gap(df: DataFrame, key: str, ts: str, tiebreak: str, out: str = "gap_sec") -> DataFrame:
-    """Seconds since the same key's previous event (NULL for the first)."""
-    w = Window.partitionBy(key).orderBy(F.col(ts), F.col(tiebreak))
-    prev = F.lag(F.col(ts)).over(w)
-    return df.withColumn("prev_" + ts, prev).withColumn(
-        out, (F.unix_micros(F.col(ts).cast("timestamp"))
-              - F.unix_micros(F.col("prev_" + ts).cast("timestamp"))) / F.lit(1000000))
+    """Adds ``prev_<ts>`` (the same key's previous event time, NULL first)
+    and ``out`` = whole seconds since it."""
+    day = F.to_date(F.col(ts))
+    d = df.withColumn("_day", day)
+    w_day = Window.partitionBy(key, "_day").orderBy(F.col(ts), F.col(tiebreak))
+    d = d.withColumn("_prev_in_day", F.lag(F.col(ts)).over(w_day))
+    days = d.groupBy(key, "_day").agg(F.max(F.col(ts)).alias("_last"))
+    w_key = Window.partitionBy(key).orderBy("_day")
+    days = days.withColumn("_prev_day_last", F.lag("_last").over(w_key)).drop("_last")
+    d = d.join(days, [key, "_day"], "left")
+    prev = F.coalesce(F.col("_prev_in_day"), F.col("_prev_day_last"))
+    return (d.withColumn("prev_" + ts, prev)
+            .withColumn(out, _seconds_between(F.col("prev_" + ts), F.col(ts)))
+            .drop("_prev_in_day", "_prev_day_last"))
 
 
 def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_seconds: int) -> DataFrame:
-    """A new session starts at a key's first event and after a gap strictly
+    """A session starts at a key's first event and after a gap strictly
     longer than ``gap_seconds``. Adds gap_sec, is_new_session, session_no
-    (1-based per key) and session_id ('key#n').
-
-    The window is partitioned by key; the running sum is a single pass over
-    the already sorted partition, so sessions cost one shuffle."""
-    w = Window.partitionBy(key).orderBy(F.col(ts), F.col(tiebreak))
+    (1-based per key) and session_id ('key#n')."""
     g = with_gap(df, key, ts, tiebreak)
     g = g.withColumn("is_new_session",
                      F.col("gap_sec").isNull() | (F.col("gap_sec") > F.lit(gap_seconds)))
-    g = g.withColumn("session_no", F.sum(F.col("is_new_session").cast("int"))
-                     .over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
-    return g.withColumn("session_id", F.concat_ws("#", F.col(key).cast("string"),
-                                                  F.col("session_no").cast("string")))
+    w_day = Window.partitionBy(key, "_day").orderBy(F.col(ts), F.col(tiebreak)) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    g = g.withColumn("_in_day", F.sum(F.col("is_new_session").cast("int")).over(w_day))
+    starts = g.groupBy(key, "_day").agg(F.sum(F.col("is_new_session").cast("int")).alias("_n"))
+    w_key = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.withColumn("_before", F.coalesce(F.sum("_n").over(w_key), F.lit(0))).drop("_n")
+    g = g.join(starts, [key, "_day"], "left")
+    g = g.withColumn("session_no", (F.col("_before") + F.col("_in_day")).cast("int"))
+    return (g.withColumn("session_id", F.concat_ws("#", F.col(key).cast("string"),
+                                                   F.col("session_no").cast("string")))
+            .drop("_day", "_in_day", "_before"))

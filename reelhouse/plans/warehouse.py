@@ -96,6 +96,7 @@ def completion_rate(completed: Column, abandoned: Column, digits: int) -> Column
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, raw: RawTables | None = None):
         self.spark = spark
+        self.sf_dir = sf_dir
         self.raw = raw if raw is not None else raw_tables(spark, sf_dir)
 
     # ---- reference date --------------------------------------------------

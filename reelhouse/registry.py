@@ -65,6 +65,23 @@ for _name in ["q1_dau_rolling", "q2_churn_segments", "q3_completion_by_genre", "
     _simple(_name, getattr(A, _name))
 
 
+from .plans import eda as EDA  # noqa: E402
+from .plans import quality as DQ  # noqa: E402
+from .plans import windows as WIN  # noqa: E402
+
+for _name in ["event_gap_lag", "sessions", "session_summary", "running_net_subs", "surrogate_keys",
+              "event_keys", "engagement_rank"]:
+    _simple(_name, getattr(WIN, _name))
+_simple("events_sessions", lambda wh: WIN.events_sessions(wh.spark, wh.sf_dir))
+for _name in ["dq_duplicates", "dq_orphans", "cascade_delete", "dq_nulls", "dq_domains",
+              "dq_dirty_users", "layer_row_counts"]:
+    _simple(_name, getattr(DQ, _name))
+for _name in ["sql_to_frame", "value_counts", "catalog_genre_share", "watch_quartiles_by_risk",
+              "feature_correlation", "interactions", "interactions_binary", "interaction_sparsity",
+              "interaction_pivot_topk", "dau_series", "dau_summary", "dau_rolling_strict", "dau_holdout"]:
+    _simple(_name, getattr(EDA, _name))
+
+
 def build(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = Warehouse(spark, sf_dir)
     return conform(QUERIES[name](wh))
