@@ -81,6 +81,12 @@ for _name in ["sql_to_frame", "value_counts", "catalog_genre_share", "watch_quar
               "interaction_pivot_topk", "dau_series", "dau_summary", "dau_rolling_strict", "dau_holdout"]:
     _simple(_name, getattr(EDA, _name))
 
+from .plans import recommend as REC  # noqa: E402
+
+for _name in ["user_similarity", "similar_users_topk", "recommend_topn", "recommend_one",
+              "rec_holdout", "rec_hit_rate", "genre_share", "mean_similarity"]:
+    _simple(_name, getattr(REC, _name))
+
 
 def build(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = Warehouse(spark, sf_dir)
