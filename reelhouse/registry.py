@@ -87,6 +87,13 @@ for _name in ["user_similarity", "similar_users_topk", "recommend_topn", "recomm
               "rec_holdout", "rec_hit_rate", "genre_share", "mean_similarity"]:
     _simple(_name, getattr(REC, _name))
 
+from .plans import churn as CH  # noqa: E402
+
+for _name in ["region_index", "churn_features", "stratified_split", "standardize", "class_weights",
+              "confusion_matrix", "classification_report", "roc_points", "roc_auc",
+              "churn_lr", "churn_rf", "churn_rf_importance", "churn_targets", "model_report"]:
+    _simple(_name, getattr(CH, _name))
+
 
 def build(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = Warehouse(spark, sf_dir)
