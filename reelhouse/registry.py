@@ -94,6 +94,12 @@ for _name in ["region_index", "churn_features", "stratified_split", "standardize
               "churn_lr", "churn_rf", "churn_rf_importance", "churn_targets", "model_report"]:
     _simple(_name, getattr(CH, _name))
 
+from .plans import forecast as FC  # noqa: E402
+
+for _name in ["seasonal_decompose", "dau_forecast_naive", "forecast_metrics", "dau_forecast",
+              "forecast_fit"]:
+    _simple(_name, getattr(FC, _name))
+
 
 def build(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = Warehouse(spark, sf_dir)
