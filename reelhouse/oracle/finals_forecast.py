@@ -26,3 +26,5 @@ SELECT count(*) AS days, round(avg(abs(actual - forecast)), 6) AS mae,
        round(sqrt(avg((actual - forecast) * (actual - forecast))), 6) AS rmse,
        round(avg(CASE WHEN actual <> 0 THEN abs(actual - forecast) / actual END) * 100, 6) AS mape
 FROM naive""")
+
+final("dau_series", ("dau_series",), "SELECT full_date, dau FROM dau_series")

@@ -50,18 +50,16 @@ def split_features(wh: Warehouse) -> DataFrame:
 
 def standardize(wh: Warehouse) -> DataFrame:
     """(x - mean) / population sd, both fitted on the training part; a
-    constant feature maps to 0. Long form: one row per user and feature.
-    The fitted parameters are one struct from a scalar subquery."""
+    constant feature maps to 0. Long form: one row per user and feature;
+    the fitted table has one row per feature (a bounded broadcast)."""
     d = split_features(wh)
-    fit = d.filter(F.col("split") == "train").agg(F.struct(
-        *[F.avg(c).alias("m_" + c) for c in FEATURES],
-        *[F.stddev_pop(c).alias("s_" + c) for c in FEATURES])).scalar()
-    z = [F.when(fit["s_" + c] > 0, (F.col(c) - fit["m_" + c]) / fit["s_" + c]).otherwise(F.lit(0.0))
-         .alias("z_" + c) for c in FEATURES]
-    wide = d.select("user_id", "split", *z)
-    stack = ", ".join(f"'{c}', z_{c}" for c in FEATURES)
-    long = wide.select("user_id", "split", F.expr(f"stack({len(FEATURES)}, {stack}) AS (feature, z)"))
-    return long.withColumn("z", F.round("z", 6))
+    stack = ", ".join(f"'{c}', `{c}`" for c in FEATURES)
+    long = d.select("user_id", "split", F.expr(f"stack({len(FEATURES)}, {stack}) AS (feature, x)"))
+    fit = long.filter(F.col("split") == "train").groupBy("feature").agg(
+        F.avg("x").alias("mean"), F.stddev_pop("x").alias("sd"))
+    j = long.join(F.broadcast(fit), "feature")
+    z = F.when(F.col("sd") > 0, (F.col("x") - F.col("mean")) / F.col("sd")).otherwise(F.lit(0.0))
+    return j.select("user_id", "split", "feature", F.round(z, 6).alias("z"))
 
 
 def class_weights(wh: Warehouse) -> DataFrame:

@@ -26,7 +26,6 @@ from pyspark.sql import types as T
 from ..functions import (date_key, day_name, dec, month_name, mysql_avg, mysql_div,
                          mysql_week_monday, ym_label)
 from ..operators.overlap import active_by_month
-from ..operators.rank import global_rank
 from ..sources.adapters import RawTables, raw_tables
 
 # ---- fixed values (warehouse rules) ---------------------------------------
@@ -351,9 +350,10 @@ class Warehouse:
             .alias("views_per_dollar"),
             F.when(cost > 0, F.round(mysql_div(minutes, cost, 2), 6)).cast("decimal(10,6)")
             .alias("minutes_per_dollar"))
-        return global_rank(out, "total_views", ascending=False, method="rank",
-                           out="popularity_rank").withColumn(
-            "popularity_rank", F.col("popularity_rank").cast("int"))
+        # One row per title (already aggregated): a plain window is cheap here;
+        # whole-table ranks over users or events go through ``global_rank``.
+        w = Window.orderBy(F.col("total_views").desc())
+        return out.withColumn("popularity_rank", F.rank().over(w).cast("int"))
 
     @cached_property
     def report_months(self) -> DataFrame:
@@ -430,3 +430,27 @@ class Warehouse:
             F.round(mysql_avg("total_watch_minutes", 2), 1).alias("avg_watch_minutes"),
             F.round(mysql_avg("distinct_days_active"), 1).alias("avg_days_active"),
             F.round(mysql_avg("days_since_last_watch"), 0).alias("avg_days_since_watch"))
+
+
+class BuiltWarehouse(Warehouse):
+    """A warehouse whose layers were written by ``sources.io.build_warehouse``:
+    analysis queries read the stored Parquet tables (facts partitioned by
+    month) instead of re-deriving every layer from the raw tables."""
+
+    STORED = ("dim_users", "dim_content", "fact_subscriptions", "mart_user_engagement",
+              "mart_content_performance", "mart_subscription_metrics")
+
+    def __init__(self, spark: SparkSession, built_dir: str):
+        self.spark = spark
+        self.sf_dir = None
+        self.built_dir = built_dir.rstrip("/")
+        read = lambda n: spark.read.parquet(f"{self.built_dir}/{n}")
+        self.raw = RawTables(users=read("raw_users"), subscriptions=read("raw_subscriptions"),
+                             content=read("raw_content"), viewing_events=read("raw_viewing_events"))
+        for name in self.STORED:
+            self.__dict__[name] = read(name)
+        fact = read("fact_viewing_events")
+        self.__dict__["fact_viewing_events"] = fact.drop("ym")
+        self.__dict__["fve"] = fact.drop("ym", "session_order").withColumn(
+            "event_date", F.to_date("event_timestamp"))
+        self.__dict__["as_of"] = fact.agg(F.max(F.to_date("event_timestamp"))).scalar()
