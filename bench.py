@@ -44,12 +44,11 @@ def main() -> None:
     if not only:
         # The warehouse workflow: build every layer once into a folder of
         # Parquet tables, then answer the analysis queries from those tables.
-        import tempfile
         from reelhouse.plans.warehouse import BuiltWarehouse, Warehouse, conform
         from reelhouse.registry import QUERIES as Q
+        from reelhouse.session import scratch_path
         from reelhouse.sources.io import build_warehouse
-        from reelhouse.session import ensure_checkpoint_dir
-        out = tempfile.mkdtemp(prefix="built-", dir=ensure_checkpoint_dir(spark))
+        out = scratch_path(spark, "built")
         t0 = time.perf_counter()
         build_warehouse(Warehouse(spark, sf_dir), out)
         timings["warehouse_build"] = round(time.perf_counter() - t0, 3)

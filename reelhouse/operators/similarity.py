@@ -65,20 +65,28 @@ def _pair_scores(pdf: pd.DataFrame, symmetric: bool, top_k: int | None) -> pd.Da
         shared = A @ B.T                           # exact small integers
         n1 = A.sum(axis=1)
         n2 = B.sum(axis=1)
-        lu_arr = lu.to_numpy(dtype=object)
-        ru_arr = ru.to_numpy(dtype=object)
+        # fixed-width unicode arrays: vectorised comparisons in code-point
+        # (= byte) order, like Spark's string ordering for these ids
+        lu_arr = np.asarray(lu.to_numpy(), dtype=str)
+        ru_arr = np.asarray(ru.to_numpy(), dtype=str)
         mask = shared > 0
         mask &= lu_arr[:, None] != ru_arr[None, :]
         if symmetric:
             mask &= lu_arr[:, None] < ru_arr[None, :]
+        sim_all = np.where(mask, shared / np.sqrt(n1[:, None] * n2[None, :]), -1.0)
+        if top_k is not None and sim_all.shape[1] > top_k:
+            # keep, per left user, every right user scoring at least its k-th
+            # best value (all ties at the cut survive; the exact tie-break by
+            # id happens below on this short list)
+            kth = -np.partition(-sim_all, top_k - 1, axis=1)[:, top_k - 1]
+            mask &= sim_all >= kth[:, None]
         ii, jj = np.nonzero(mask)
         if len(ii) == 0:
             continue
         s = shared[ii, jj]
-        sim = s / np.sqrt(n1[ii] * n2[jj])
         part = pd.DataFrame({"user_1": lu_arr[ii], "user_2": ru_arr[jj], "shared": s.astype(np.int64),
                              "n_1": n1[ii].astype(np.int64), "n_2": n2[jj].astype(np.int64),
-                             "similarity": sim})
+                             "similarity": sim_all[ii, jj]})
         if top_k is not None:
             part = part.sort_values(["user_1", "similarity", "user_2"], ascending=[True, False, True])
             part = part.groupby("user_1", sort=False).head(top_k)

@@ -55,3 +55,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="reelhouse-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared checkpoint folder (any Hadoop URI;
+    Spark creates it on write)."""
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
