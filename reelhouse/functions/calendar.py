@@ -51,3 +51,13 @@ def month_index(d) -> Column:
 def months_between_starts(a, b) -> Column:
     """Whole months from the month of ``a`` to the month of ``b`` (both on month starts)."""
     return (month_index(b) - month_index(a)).cast("int")
+
+
+def wall_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a wall-clock (NTZ) timestamp,
+    from its calendar parts only - no session time zone or DST rule enters."""
+    ts = _c(ts)
+    day = F.unix_date(F.to_date(ts)).cast("bigint")
+    sec = F.date_part(F.lit("SECOND"), ts)            # decimal(8,6), with fraction
+    return (day * 86400000000 + F.hour(ts).cast("bigint") * 3600000000
+            + F.minute(ts).cast("bigint") * 60000000 + (sec * 1000000).cast("bigint"))

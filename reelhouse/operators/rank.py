@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.calendar import wall_micros
+
 _STRING_PROXY_BYTES = 7
 
 
@@ -33,8 +35,10 @@ def _proxy(col: Column, dtype) -> Column:
         return F.conv(F.hex(padded), 16, 10).cast("double")
     if isinstance(dtype, (T.DateType,)):
         return F.unix_date(col).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col.cast("timestamp")).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):
+        return wall_micros(col).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(col).cast("double")
     return col.cast("double")
 
 

@@ -19,11 +19,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.calendar import wall_micros
+
 
 def _seconds_between(a, b):
-    """Whole seconds from a to b (microsecond difference, truncated)."""
-    micros = F.unix_micros(b.cast("timestamp")) - F.unix_micros(a.cast("timestamp"))
-    return F.floor(micros / F.lit(1000000)).cast("bigint")
+    """Whole seconds from a to b (b >= a; fractions truncated). Computed on
+    the wall-clock values, so no session time zone or DST shift enters."""
+    return F.floor((wall_micros(b) - wall_micros(a)) / F.lit(1000000)).cast("bigint")
 
 
 def with_gap(df: DataFrame, key: str, ts: str, tiebreak: str, out: str = "gap_sec") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.calendar import wall_micros
 from ..operators.rank import global_rank
 from ..operators.sessions import sessionize, with_gap
 from ..sources.tables import read_table
@@ -37,8 +38,8 @@ def session_summary(wh: Warehouse) -> DataFrame:
         F.count(F.lit(1)).alias("events"), F.min("event_timestamp").alias("session_start"),
         F.max("event_timestamp").alias("session_end"),
         F.sum("watch_duration_minutes").alias("minutes"))
-    return g.withColumn("length_sec", F.timestamp_diff("SECOND", F.col("session_start"),
-                                                       F.col("session_end")))
+    return g.withColumn("length_sec", F.floor(
+        (wall_micros(F.col("session_end")) - wall_micros(F.col("session_start"))) / F.lit(1000000)).cast("bigint"))
 
 
 def events_sessions(spark, sf_dir: str) -> DataFrame:
