@@ -395,6 +395,21 @@ class Warehouse:
             .alias("avg_revenue_per_user"))
 
     # ---- views -------------------------------------------------------------
+    LAYERS = ("dim_date", "dim_device", "dim_users", "dim_content", "fact_viewing_events",
+              "fact_subscriptions", "mart_user_engagement", "mart_content_performance",
+              "mart_subscription_metrics", "v_daily_active_users", "v_content_leaderboard",
+              "v_churn_risk_summary")
+
+    def register_views(self) -> list[str]:
+        """Expose every layer to SQL as a session view (``spark.sql`` can then
+        query the warehouse by name, as the notebook does)."""
+        for name in self.LAYERS:
+            getattr(self, name).createOrReplaceTempView(name)
+        for short, df in (("raw_users", self.raw.users), ("raw_subscriptions", self.raw.subscriptions),
+                          ("raw_content", self.raw.content), ("raw_viewing_events", self.raw.viewing_events)):
+            df.createOrReplaceTempView(short)
+        return list(self.LAYERS)
+
     @cached_property
     def daily_fact(self) -> DataFrame:
         """Per day: distinct users, exact minutes, events (pre-aggregated

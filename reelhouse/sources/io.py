@@ -91,3 +91,18 @@ def build_warehouse(wh, out_dir: str) -> dict[str, str]:
         w.parquet(path)
         paths[name] = path
     return paths
+
+
+def write_scores(wh, out_dir: str) -> dict[str, str]:
+    """Write model outputs back next to the warehouse tables: churn
+    probabilities of the random forest, per-series DAU forecasts and every
+    user's top-10 recommendations (each a full overwrite)."""
+    from ..plans import churn, forecast, recommend
+    outputs = {"churn_predictions": churn.churn_rf(wh), "dau_forecasts": forecast.dau_forecast(wh),
+               "recommendations": recommend.recommend_topn(wh)}
+    paths = {}
+    for name, df in outputs.items():
+        path = f"{out_dir.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        paths[name] = path
+    return paths

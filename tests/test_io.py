@@ -63,3 +63,18 @@ def test_build_warehouse_writes_partitioned_fact(spark, wh):
     assert "ym" in fact.columns and fact.count() == wh.fve.count()
     plan = fact.filter(F.col("ym") == "2024-05")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
+
+
+def test_register_views_and_sql(spark, wh):
+    names = wh.register_views()
+    assert "mart_user_engagement" in names
+    n = spark.sql("SELECT count(*) AS n FROM mart_user_engagement WHERE churn_risk = 'new'").first()["n"]
+    assert n == wh.mart_user_engagement.filter(F.col("churn_risk") == "new").count()
+
+
+def test_write_scores(spark, wh):
+    out = _tmp()
+    paths = io.write_scores(wh, out)
+    recs = spark.read.parquet(paths["recommendations"])
+    assert recs.count() > 0 and recs.groupBy("user_id").count().filter("count > 10").count() == 0
+    assert spark.read.parquet(paths["dau_forecasts"]).count() > 0
