@@ -67,29 +67,41 @@ def catalog_listing(spark: SparkSession) -> DataFrame:
 
 
 def build_warehouse(wh, out_dir: str) -> dict[str, str]:
-    """Write every layer as Parquet under ``out_dir`` (a shared folder on a
-    cluster). Facts are partitioned by month for partition pruning. Each
-    table is rebuilt in full (overwrite), so a rerun after a failure is safe.
-    Returns table -> path."""
-    layers = {
-        "raw_users": wh.raw.users, "raw_subscriptions": wh.raw.subscriptions,
-        "raw_content": wh.raw.content, "raw_viewing_events": wh.raw.viewing_events,
-        "dim_date": wh.dim_date, "dim_device": wh.dim_device, "dim_users": wh.dim_users,
-        "dim_content": wh.dim_content,
-        "fact_viewing_events": wh.fact_viewing_events.withColumn("ym", F.date_format("event_timestamp", "yyyy-MM")),
-        "fact_subscriptions": wh.fact_subscriptions,
-        "mart_user_engagement": wh.mart_user_engagement,
-        "mart_content_performance": wh.mart_content_performance,
-        "mart_subscription_metrics": wh.mart_subscription_metrics,
-    }
-    paths = {}
-    for name, df in layers.items():
+    """Build the warehouse layer by layer into ``out_dir`` (a shared folder on
+    a cluster): raw staging tables first, then dimensions and facts computed
+    from the written raw tables, then marts from the written dimensions and
+    facts. Each layer reads the previous one back, so lineage is cut at every
+    layer and no layer recomputes its inputs. The viewing fact is partitioned
+    by month for partition pruning. Every table is a full overwrite, so a
+    rerun after a failure is safe. Returns table -> path."""
+    from ..plans.warehouse import Warehouse
+    from .adapters import RawTables
+
+    spark = wh.spark
+    paths: dict[str, str] = {}
+
+    def put(name: str, df: DataFrame, part: str | None = None) -> DataFrame:
         path = f"{out_dir.rstrip('/')}/{name}"
         w = df.write.mode("overwrite")
-        if name == "fact_viewing_events":
-            w = w.partitionBy("ym")
+        if part:
+            w = w.partitionBy(part)
         w.parquet(path)
         paths[name] = path
+        return spark.read.parquet(path)
+
+    raw = RawTables(users=put("raw_users", wh.raw.users),
+                    subscriptions=put("raw_subscriptions", wh.raw.subscriptions),
+                    content=put("raw_content", wh.raw.content),
+                    viewing_events=put("raw_viewing_events", wh.raw.viewing_events))
+    w2 = Warehouse(spark, raw=raw)
+    for name in ("dim_date", "dim_device", "dim_users", "dim_content", "fact_subscriptions"):
+        w2.__dict__[name] = put(name, getattr(w2, name))
+    fact = put("fact_viewing_events",
+               w2.fact_viewing_events.withColumn("ym", F.date_format("event_timestamp", "yyyy-MM")), "ym")
+    w2.__dict__["fact_viewing_events"] = fact.drop("ym")
+    w2.__dict__["fve"] = fact.drop("ym", "session_order").withColumn("event_date", F.to_date("event_timestamp"))
+    for name in ("mart_user_engagement", "mart_content_performance", "mart_subscription_metrics"):
+        put(name, getattr(w2, name))
     return paths
 
 

@@ -78,3 +78,13 @@ def test_write_scores(spark, wh):
     recs = spark.read.parquet(paths["recommendations"])
     assert recs.count() > 0 and recs.groupBy("user_id").count().filter("count > 10").count() == 0
     assert spark.read.parquet(paths["dau_forecasts"]).count() > 0
+
+
+def test_built_warehouse_answers_equal(spark, wh):
+    from reelhouse.plans import analytics as A
+    from reelhouse.plans.warehouse import BuiltWarehouse, conform
+    out = _tmp()
+    io.build_warehouse(wh, out)
+    built = BuiltWarehouse(spark, out)
+    for fn in (A.q2_churn_segments, A.q4_ltv_by_plan, A.q6_cohort_retention, A.q7_original_roi):
+        assert same_rows(conform(fn(built)).collect(), conform(fn(wh)).collect())[0], fn.__name__
