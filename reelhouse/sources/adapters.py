@@ -31,84 +31,76 @@ DAY_SHIFT = 9131          # moves 1995-01-01 to 2020-01-01
 CONTENT_KEYS = 200        # part keys 0..199 become titles; events use l_partkey % 200
 
 
-def _pick(values, one_based_index: Column, dtype: str = "string") -> Column:
-    """Item ``index`` (1-based) of a fixed list; NULL outside the list."""
-    arr = F.array(*[F.lit(v).cast(dtype) for v in values])
-    return F.try_element_at(arr, one_based_index.cast("int"))
+def _sql_list(values) -> str:
+    out = []
+    for v in values:
+        out.append("NULL" if v is None else (f"'{v}'" if isinstance(v, str) else str(v)))
+    return ", ".join(out)
 
 
-def _ranges(value: Column, bands) -> Column:
-    """First band (upper bound inclusive, label) containing ``value``."""
-    expr = None
-    for upper, label in bands:
-        expr = (F.when(value <= upper, label) if expr is None
-                else expr.when(value <= upper, label))
-    return expr
+def _pick(values, index_sql: str, dtype: str = "string") -> str:
+    """SQL: item ``index`` (1-based) of a fixed list; NULL outside the list."""
+    return f"try_element_at(array({_sql_list(values)}), CAST({index_sql} AS INT))" + (
+        f"::{dtype}" if dtype != "string" else "")
 
 
+def _bands(value_sql: str, bands) -> str:
+    """SQL: first band (upper bound inclusive, label) containing the value."""
+    return "CASE " + " ".join(f"WHEN {value_sql} <= {u} THEN '{label}'" for u, label in bands) + " END"
+
+
+# Each column is one SQL expression string: a single parse per column keeps
+# plan construction cheap (the expressions run JVM-side either way).
 def users_from_customer(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    email_k = F.when(k % 33 == 1, k - 1).otherwise(k)
-    signup = F.lit("2023-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        days=((k * 131) % 1000).cast("int"), secs=((k * 7919) % 86400).cast("int"))
-    birth = F.when(k % 20 == 0, _pick(INVALID_BIRTH_YEARS, (F.floor(k / 20) % 5) + 1, "int")) \
-        .otherwise((F.lit(1960) + (k * 17) % 46).cast("int"))
-    return customer.select(
-        k.cast("string").alias("user_id"),
-        F.concat(F.lit("u"), email_k.cast("string"), F.lit("@example.com")).alias("email"),
-        F.col("c_name").alias("username"),
-        _pick(COUNTRIES, F.col("c_nationkey") + 1).alias("country"),
-        signup.alias("signup_date"),
-        birth.cast("int").alias("birth_year"),
-    )
+    k = "c_custkey"
+    return customer.selectExpr(
+        f"CAST({k} AS STRING) AS user_id",
+        f"concat('u', CAST(CASE WHEN {k} % 33 = 1 THEN {k} - 1 ELSE {k} END AS STRING), '@example.com') AS email",
+        "c_name AS username",
+        f"{_pick(COUNTRIES, 'c_nationkey + 1')} AS country",
+        f"TIMESTAMP_NTZ'2023-01-01 00:00:00' + make_dt_interval(CAST(({k} * 131) % 1000 AS INT), 0, 0, "
+        f"CAST(({k} * 7919) % 86400 AS INT)) AS signup_date",
+        f"CAST(CASE WHEN {k} % 20 = 0 THEN {_pick(INVALID_BIRTH_YEARS, f'(floor({k} / 20) % 5) + 1', 'int')} "
+        f"ELSE 1960 + ({k} * 17) % 46 END AS INT) AS birth_year")
+
+
+_CTYPE = _pick(["movie", "series", "documentary", "short"], "(p_partkey % 4) + 1")
 
 
 def content_from_part(part: DataFrame) -> DataFrame:
-    k = F.col("p_partkey")
-    ctype = _pick(["movie", "series", "documentary", "short"], (k % 4) + 1)
-    x = k * 37
-    duration = (F.when(ctype == "movie", 80 + x % 101)
-                .when(ctype == "series", 25 + x % 36)
-                .when(ctype == "documentary", 45 + x % 76)
-                .otherwise(5 + x % 21)).cast("int")
-    original = (k * 3) % 10 < 3
-    cost = (F.when(k % 25 == 0, F.lit(None))
-            .when(original, 500000 + (k * k * 1237) % 49500001)
-            .otherwise(10000 + (k * 7919) % 1990001)).cast("decimal(12,2)")
-    return part.filter(k < CONTENT_KEYS).select(
-        k.cast("string").alias("content_id"),
-        F.concat_ws(" ", F.col("p_name"), k.cast("string")).alias("title"),
-        ctype.alias("content_type"),
-        _pick(GENRES, (k * 7) % 15 + 1).alias("genre"),
-        (2015 + k % 11).cast("int").alias("release_year"),
-        duration.alias("duration_minutes"),
-        _pick(RATINGS, k % 8 + 1).alias("rating"),
-        original.alias("is_original"),
-        cost.alias("production_cost_usd"),
-    )
+    x = "(p_partkey * 37)"
+    original = "((p_partkey * 3) % 10 < 3)"
+    return part.filter(F.col("p_partkey") < CONTENT_KEYS).selectExpr(
+        "CAST(p_partkey AS STRING) AS content_id",
+        "concat_ws(' ', p_name, CAST(p_partkey AS STRING)) AS title",
+        f"{_CTYPE} AS content_type",
+        f"{_pick(GENRES, '(p_partkey * 7) % 15 + 1')} AS genre",
+        "CAST(2015 + p_partkey % 11 AS INT) AS release_year",
+        f"CAST(CASE p_partkey % 4 WHEN 0 THEN 80 + {x} % 101 WHEN 1 THEN 25 + {x} % 36 "
+        f"WHEN 2 THEN 45 + {x} % 76 ELSE 5 + {x} % 21 END AS INT) AS duration_minutes",
+        f"{_pick(RATINGS, 'p_partkey % 8 + 1')} AS rating",
+        f"{original} AS is_original",
+        f"CAST(CASE WHEN p_partkey % 25 = 0 THEN NULL WHEN {original} "
+        f"THEN 500000 + (p_partkey * p_partkey * 1237) % 49500001 "
+        f"ELSE 10000 + (p_partkey * 7919) % 1990001 END AS DECIMAL(12,2)) AS production_cost_usd")
 
 
 def subscriptions_from_orders(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
-    prio = F.substring("o_orderpriority", 1, 1)
-    plan = (F.when(prio == "1", "premium").when(prio.isin("2", "3"), "standard")
-            .when(prio == "4", "basic").otherwise("free_trial"))
-    status = (F.when(F.col("o_orderstatus") == "O", "active")
-              .when(F.col("o_orderstatus") == "P", "cancelled")
-              .when(k % 3 == 0, "paused").otherwise("expired"))
-    start = F.date_add(F.to_date("o_orderdate"), DAY_SHIFT)
-    price = F.when(plan == "premium", F.lit(Decimal(PLAN_PRICES["premium"]))) \
-        .when(plan == "standard", F.lit(Decimal(PLAN_PRICES["standard"]))) \
-        .when(plan == "basic", F.lit(Decimal(PLAN_PRICES["basic"]))) \
-        .otherwise(F.lit(Decimal(PLAN_PRICES["free_trial"])))
+    k = "o_orderkey"
+    plan = ("CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'premium' WHEN '2' THEN 'standard' "
+            "WHEN '3' THEN 'standard' WHEN '4' THEN 'basic' ELSE 'free_trial' END")
+    status = (f"CASE WHEN o_orderstatus = 'O' THEN 'active' WHEN o_orderstatus = 'P' THEN 'cancelled' "
+              f"WHEN {k} % 3 = 0 THEN 'paused' ELSE 'expired' END")
+    price = ("CAST(CASE plan_type " + " ".join(f"WHEN '{p}' THEN {v}" for p, v in PLAN_PRICES.items())
+             + " END AS DECIMAL(6,2))")
     return (orders.filter(F.col("o_custkey") % 20 != 7)
-            .select(k.cast("string").alias("subscription_id"),
-                    F.col("o_custkey").cast("string").alias("user_id"),
-                    plan.alias("plan_type"), status.alias("status"),
-                    start.alias("start_date"),
-                    F.when(status == "active", F.lit(None).cast("date"))
-                    .otherwise(F.date_add(start, (14 + (k * 53) % 352).cast("int"))).alias("end_date"),
-                    price.cast("decimal(6,2)").alias("monthly_price")))
+            .selectExpr(f"CAST({k} AS STRING) AS subscription_id", "CAST(o_custkey AS STRING) AS user_id",
+                        f"{plan} AS plan_type", f"{status} AS status",
+                        f"date_add(to_date(o_orderdate), {DAY_SHIFT}) AS start_date", f"{k} AS _k")
+            .selectExpr("subscription_id", "user_id", "plan_type", "status", "start_date",
+                        "CASE WHEN status = 'active' THEN CAST(NULL AS DATE) "
+                        "ELSE date_add(start_date, CAST(14 + (_k * 53) % 352 AS INT)) END AS end_date",
+                        f"{price} AS monthly_price"))
 
 
 def events_from_lineitem(lineitem: DataFrame, orders: DataFrame, content: DataFrame) -> DataFrame:
@@ -122,38 +114,26 @@ def events_from_lineitem(lineitem: DataFrame, orders: DataFrame, content: DataFr
     j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
          .withColumn("content_id", (F.col("l_partkey") % CONTENT_KEYS).cast("string"))
          .join(durations, F.col("content_id") == F.col("_cid"), "left"))
-    e = (F.col("l_orderkey") * 31 + F.col("l_partkey") * 17 + F.col("l_suppkey") * 7
-         + F.col("l_linenumber") * 3) % 20
-    etype = _ranges(e, [(7, "play"), (10, "pause"), (13, "resume"), (17, "complete"), (19, "abandon")])
-    d = (F.col("l_partkey") * 13 + F.col("l_suppkey") * 11 + F.col("l_linenumber")) % 20
-    device = _ranges(d, [(5, "smart_tv"), (11, "mobile"), (14, "tablet"), (17, "desktop"),
-                         (19, "console")])
-    qty = F.floor("l_quantity").cast("bigint")
-    kk = qty * 7 + F.col("l_linenumber")
-    percent = (F.when(etype == "play", 5 + kk % 76)
-               .when(etype.isin("pause", "resume"), 3 + kk % 48)
-               .when(etype == "complete", F.lit(100))
-               .otherwise(1 + kk % 30))
-    secs = F.greatest(F.lit(1).cast("bigint"),
-                      F.floor(F.col("duration_minutes") * 60 * percent / 100).cast("bigint"))
-    hour = F.when(F.col("l_orderkey") % 5 < 3, 18 + F.col("l_partkey") % 6) \
-        .otherwise(F.col("l_partkey") % 24)
-    ts = F.col("l_shipdate").cast("timestamp_ntz") + F.make_dt_interval(
-        days=F.lit(DAY_SHIFT), hours=hour.cast("int"),
-        mins=((F.col("l_suppkey") * 7 + F.col("l_linenumber")) % 60).cast("int"),
-        secs=(F.col("l_orderkey") % 60).cast("int"))
-    event_id = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
-                           F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
-                           qty.cast("string"), F.date_format("l_shipdate", "yyyyMMdd"))
-    return j.select(
-        event_id.alias("event_id"),
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("content_id"),
-        etype.alias("event_type"),
-        device.alias("device_type"),
-        secs.cast("int").alias("watch_duration_sec"),
-        ts.alias("event_timestamp"),
-    )
+    etype = _bands("((l_orderkey * 31 + l_partkey * 17 + l_suppkey * 7 + l_linenumber * 3) % 20)",
+                   [(7, "play"), (10, "pause"), (13, "resume"), (17, "complete"), (19, "abandon")])
+    device = _bands("((l_partkey * 13 + l_suppkey * 11 + l_linenumber) % 20)",
+                    [(5, "smart_tv"), (11, "mobile"), (14, "tablet"), (17, "desktop"), (19, "console")])
+    step1 = j.selectExpr(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "o_custkey", "content_id",
+        "duration_minutes", "CAST(floor(l_quantity) AS BIGINT) AS qty", f"{etype} AS event_type",
+        f"{device} AS device_type")
+    kk = "(qty * 7 + l_linenumber)"
+    percent = (f"CASE event_type WHEN 'play' THEN 5 + {kk} % 76 WHEN 'pause' THEN 3 + {kk} % 48 "
+               f"WHEN 'resume' THEN 3 + {kk} % 48 WHEN 'complete' THEN 100 ELSE 1 + {kk} % 30 END")
+    hour = "CASE WHEN l_orderkey % 5 < 3 THEN 18 + l_partkey % 6 ELSE l_partkey % 24 END"
+    return step1.selectExpr(
+        "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING), "
+        "CAST(l_suppkey AS STRING), CAST(qty AS STRING), date_format(l_shipdate, 'yyyyMMdd')) AS event_id",
+        "CAST(o_custkey AS STRING) AS user_id", "content_id", "event_type", "device_type",
+        f"CAST(greatest(CAST(1 AS BIGINT), floor(duration_minutes * 60 * ({percent}) / 100)) AS INT) "
+        "AS watch_duration_sec",
+        f"CAST(l_shipdate AS TIMESTAMP_NTZ) + make_dt_interval({DAY_SHIFT}, CAST({hour} AS INT), "
+        "CAST((l_suppkey * 7 + l_linenumber) % 60 AS INT), CAST(l_orderkey % 60 AS INT)) AS event_timestamp")
 
 
 @dataclass
