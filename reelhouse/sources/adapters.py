@@ -8,6 +8,7 @@ viewing events <- lineitem joined to orders.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -144,16 +145,37 @@ class RawTables:
     viewing_events: DataFrame
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey"])
-    orders = read_table(spark, sf_dir, "orders",
-                        ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
-    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"])
-    lineitem = read_table(spark, sf_dir, "lineitem")
-    content = content_from_part(part)
-    return RawTables(
-        users=users_from_customer(customer),
-        subscriptions=subscriptions_from_orders(orders),
-        content=content,
-        viewing_events=events_from_lineitem(lineitem, orders, content),
-    )
+class LazyRawTables:
+    """The four raw tables over the test Parquet, each planned on first use
+    (a query that needs only subscriptions never reads lineitem)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def _read(self, name, cols):
+        return read_table(self.spark, self.sf_dir, name, cols)
+
+    @cached_property
+    def _orders(self) -> DataFrame:
+        return self._read("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+                                     "o_orderpriority"])
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return users_from_customer(self._read("customer", ["c_custkey", "c_name", "c_nationkey"]))
+
+    @cached_property
+    def subscriptions(self) -> DataFrame:
+        return subscriptions_from_orders(self._orders)
+
+    @cached_property
+    def content(self) -> DataFrame:
+        return content_from_part(self._read("part", ["p_partkey", "p_name"]))
+
+    @cached_property
+    def viewing_events(self) -> DataFrame:
+        return events_from_lineitem(self._read("lineitem", None), self._orders, self.content)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> LazyRawTables:
+    return LazyRawTables(spark, sf_dir)
