@@ -4,7 +4,9 @@
 into one task. ``global_rank`` instead:
 
 1. aggregates the input to distinct order keys with their multiplicities
-   (hash aggregate with map-side combine - a hot key costs one row);
+   (hash aggregate with map-side combine - a hot key costs one row) and
+   checkpoints that table to the shared checkpoint folder, so the steps
+   below read it instead of re-running the input plan;
 2. cuts the key space into ``buckets`` ordered ranges from approximate
    quantiles, computed lazily as a scalar subquery (bounded: ``buckets``
    values); equal keys always share a bucket, so ties stay whole;
@@ -45,7 +47,7 @@ def _proxy(col: Column, dtype) -> Column:
 def global_rank(df: DataFrame, order_col: str, ascending: bool = True, method: str = "rank",
                 out: str | None = None, nulls_last: bool | None = None,
                 buckets: int | None = None, total_col: str | None = None,
-                extra: dict | None = None) -> DataFrame:
+                extra: dict | None = None, materialize: bool = True) -> DataFrame:
     """Add column ``out`` holding the whole-table rank of ``order_col``.
     ``extra`` maps more output names to methods computed in the same pass;
     ``total_col`` (optional) receives the table's row count."""
@@ -63,6 +65,13 @@ def global_rank(df: DataFrame, order_col: str, ascending: bool = True, method: s
     key = F.col(order_col)
 
     counts = df.groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    if materialize:
+        # One job computes the distinct keys; the bounds subquery, bucket
+        # totals and ranking then read the checkpoint (reliable, in the
+        # shared checkpoint folder) instead of re-running the input plan.
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        counts = counts.checkpoint(eager=True)
     sk = _proxy(F.col("_k"), dtype)
     if not ascending:
         sk = -sk
