@@ -177,14 +177,12 @@ class Warehouse:
             .otherwise("premium").alias("cost_tier"))
 
     # ---- facts -------------------------------------------------------------
-    @cached_property
-    def fact_viewing_events(self) -> DataFrame:
+    def _event_rows(self, with_session_order: bool) -> DataFrame:
         e = self.raw.viewing_events
         ts = F.col("event_timestamp")
         hour = F.hour(ts)
         j = e.join(F.broadcast(self.dim_device.select("device_type", "device_key")), "device_type")
-        w = Window.partitionBy("user_id", F.to_date(ts)).orderBy(ts, F.col("event_id"))
-        return j.select(
+        cols = [
             "event_id", "user_id", "content_id", date_key(ts).alias("date_key"), "device_key",
             "event_type", "device_type", "watch_duration_sec",
             F.round(mysql_div(F.col("watch_duration_sec"), F.lit(60), 0), 2)
@@ -192,26 +190,23 @@ class Warehouse:
             (F.col("event_type") == "complete").alias("is_completed"),
             (F.col("event_type") == "abandon").alias("is_abandoned"),
             hour.alias("hour_of_day"), day_period_of(hour).alias("day_period"),
-            ts.alias("event_timestamp"),
-            F.row_number().over(w).alias("session_order"))
+            ts.alias("event_timestamp")]
+        if with_session_order:
+            w = Window.partitionBy("user_id", F.to_date(ts)).orderBy(ts, F.col("event_id"))
+            return j.select(*cols, F.row_number().over(w).alias("session_order"))
+        return j.select(*cols, F.to_date(ts).alias("event_date"))
+
+    @cached_property
+    def fact_viewing_events(self) -> DataFrame:
+        """The viewing fact: keys, minutes, flags, hour, day period and the
+        nth event of the user's day (a window partitioned by user and day)."""
+        return self._event_rows(with_session_order=True)
 
     @cached_property
     def fve(self) -> DataFrame:
         """The fact without its session window (for aggregates that do not
         need ``session_order``; avoids the window's shuffle and sort)."""
-        e = self.raw.viewing_events
-        ts = F.col("event_timestamp")
-        hour = F.hour(ts)
-        j = e.join(F.broadcast(self.dim_device.select("device_type", "device_key")), "device_type")
-        return j.select(
-            "event_id", "user_id", "content_id", date_key(ts).alias("date_key"), "device_key",
-            "event_type", "device_type", "watch_duration_sec",
-            F.round(mysql_div(F.col("watch_duration_sec"), F.lit(60), 0), 2)
-            .cast("decimal(8,2)").alias("watch_duration_minutes"),
-            (F.col("event_type") == "complete").alias("is_completed"),
-            (F.col("event_type") == "abandon").alias("is_abandoned"),
-            hour.alias("hour_of_day"), day_period_of(hour).alias("day_period"),
-            ts.alias("event_timestamp"), F.to_date(ts).alias("event_date"))
+        return self._event_rows(with_session_order=False)
 
     @cached_property
     def fact_subscriptions(self) -> DataFrame:
