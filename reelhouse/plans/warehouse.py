@@ -101,8 +101,10 @@ class Warehouse:
     # ---- reference date --------------------------------------------------
     @cached_property
     def as_of(self) -> Column:
-        """Latest event date, as a scalar subquery evaluated once per query."""
-        return self.raw.viewing_events.agg(F.max(F.to_date("event_timestamp"))).scalar()
+        """Latest event date of the viewing fact, as a scalar subquery. It is
+        taken from the per-(user, day) aggregate the queries build anyway, so
+        AQE can serve it from the same shuffle instead of a second pass."""
+        return self.user_days.agg(F.max("event_date")).scalar()
 
     # ---- dimensions ------------------------------------------------------
     @cached_property
