@@ -66,9 +66,9 @@ def class_weights(wh: Warehouse) -> DataFrame:
     """Balanced weights n / (k * n_class) on the training part."""
     t = stratified_split(wh).filter(F.col("split") == "train")
     c = t.groupBy("is_churned").agg(F.count(F.lit(1)).alias("n_class"))
-    total = t.agg(F.count(F.lit(1))).scalar()
-    k = t.agg(F.countDistinct("is_churned")).scalar()
-    return c.withColumn("weight", total / (k * F.col("n_class")))
+    whole = Window.partitionBy()        # over the class rows only
+    return c.withColumn("weight", F.sum("n_class").over(whole)
+                        / (F.count(F.lit(1)).over(whole) * F.col("n_class")))
 
 
 # ---- deterministic baseline scorer (checkable by SQL) ------------------------------

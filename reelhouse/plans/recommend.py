@@ -136,13 +136,14 @@ def rec_hit_rate(wh: Warehouse) -> DataFrame:
 def genre_share(wh: Warehouse) -> DataFrame:
     """Genre shares of all recommendations against the catalogue."""
     recs = recommend_topn(wh)
+    whole = Window.partitionBy()        # over the genre rows only
     r = recs.groupBy("genre").agg(F.count(F.lit(1)).alias("_r"))
-    rt = recs.agg(F.count(F.lit(1))).scalar()
+    r = r.withColumn("_r", F.col("_r") / F.sum("_r").over(whole))
     c = wh.dim_content.groupBy("genre").agg(F.count(F.lit(1)).alias("_c"))
-    ct = wh.dim_content.agg(F.count(F.lit(1))).scalar()
+    c = c.withColumn("_c", F.col("_c") / F.sum("_c").over(whole))
     return r.join(c, "genre", "full").select(
-        "genre", F.coalesce(F.col("_r") / rt, F.lit(0.0)).alias("recommended_share"),
-        F.coalesce(F.col("_c") / ct, F.lit(0.0)).alias("catalog_share"))
+        "genre", F.coalesce(F.col("_r"), F.lit(0.0)).alias("recommended_share"),
+        F.coalesce(F.col("_c"), F.lit(0.0)).alias("catalog_share"))
 
 
 def mean_similarity(wh: Warehouse) -> DataFrame:
