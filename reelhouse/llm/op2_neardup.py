@@ -5,11 +5,13 @@ a SuperMinHash signature: element after element of a random permutation of the
 slots, with rank j + r for the j-th slot, so that the slots of one element are
 correlated and a set is done as soon as every slot holds less than the next
 rank. Bands of slots give buckets. In a bucket, members are compared on their
-full sets with the smallest member first; links are joined by union-find; then
-only pairs of different groups are left, and they are compared too, so that no
-pair that shares a bucket stays open. A bucket never lists all its pairs: where
-more than ``OPEN`` a member are open, the next smallest member is taken as
-centre, round by round.
+full sets with the smallest member first; links are joined by union-find. The
+members of buckets that still hold several groups are paired by an exact rule
+(their rarest shingles must have one in common), verified and joined too, so
+that no link between members of buckets is lost. Pairs of one group, of too
+different size, or with too little left after their first common shingle are
+never listed; a shingle with more than ``OPEN`` members takes the next smallest
+member as centre, round by round.
 """
 from __future__ import annotations
 
@@ -26,8 +28,10 @@ from reelhouse.llm.words import shingles, word_hashes
 #: 40 bands of 5 slots: a pair of similarity 0.8 shares no bucket with probability (1 - 0.8^5)^40 = 1.3e-7.
 BANDS, ROWS = 40, 5
 SLOTS = BANDS * ROWS
-#: Open pairs of a bucket that are listed at once, per member.
-OPEN = 16
+#: Members of a shingle up to which their pairs are tested at once; beyond, one centre a round.
+OPEN = 4096
+#: Shingles whose counts are sent to the tasks at most (16 bytes each).
+COMMON = 1 << 19
 #: Rows of the id list that may be broadcast (24 bytes each); longer lists are joined by shuffle.
 BROADCAST_IDS = 500_000
 #: Elements handled at once (SLOTS bytes each).
@@ -128,6 +132,52 @@ def _sets(k: int):
     return run
 
 
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, rep, n, pos): the shingles of each set that any set of enough
+    similarity must share one of: with all shingles in one fixed order, the
+    first n - ceil(percent * n / 100) + 1. Shingles of many sets come last in
+    that order, so that a passage that many documents have makes no pairs. The
+    counts of at most ``COMMON`` shingles are needed for it (those of at least
+    1/COMMON of all occurrences), and only those go through the driver."""
+    spark = sets.sparkSession
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    least = max(8, -(-total // COMMON))
+    counts = sets.mapInArrow(_count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")).where(
+        F.col("c") >= least).toArrow().sort_by("key")
+    table = spark.sparkContext.broadcast((counts.column("key").to_numpy(), counts.column("c").to_numpy()))
+    return sets.mapInArrow(_first(table, percent), "key long, rep long, n long, pos long")
+
+
+def _count(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            items = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("items").slice(at, 1000)]
+            key, c = np.unique(np.concatenate(items), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(c)], names=["key", "c"])
+
+
+def _first(table, percent: int):
+    def run(batches):
+        known, count = table.value
+        for batch in batches:
+            rep, keys = batch.column("rep").to_pylist(), []
+            for x in batch.column("items"):
+                x = np.frombuffer(x.as_buffer(), np.int64)
+                rank = np.zeros(len(x), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, x), len(known) - 1)
+                    rank = np.where(known[at] == x, count[at], 0)
+                size = len(x) + (-percent * len(x) // 100) + 1
+                keys.append(x[np.lexsort((x, rank))[:size]])
+            n = [len(k) for k in keys]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([np.zeros(0, np.int64), *keys])), pa.array(np.repeat(rep, n).astype(np.int64)),
+                pa.array(np.repeat(batch.column("n").to_numpy(), n)),
+                pa.array(np.concatenate([np.zeros(0, np.int64), *[np.arange(x) for x in n]]))],
+                names=["key", "rep", "n", "pos"])
+    return run
+
+
 def _verify(percent: int):
     def run(batches):
         for batch in batches:
@@ -178,36 +228,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # first the smallest centre of each member: one pair a member
     stars = members.where("rep <> centre").groupBy(F.col("rep").alias("b")).agg(F.min("centre").alias("a"))
-    # two classes with one id are the same document
     links = materialize(linked(stars.select("a", "b")), "verified")
-    open_ = members.select("key", "rep", "n")
+    tops = components(links)
+    # then the members of buckets that still hold several groups, by their rarest shingles
+    marked = members.join(tops.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "key", "rep", "n", F.coalesce("top", "rep").alias("top"))
+    several = marked.groupBy("key").agg(F.min("top").alias("lo"), F.max("top").alias("hi")).where("lo <> hi")
+    waiting = marked.join(several.select("key"), "key", "left_semi").select("rep", "n").distinct()
+    waiting = materialize(sets.join(waiting, "rep"), "waiting")
+    open_ = materialize(_prefixes(waiting, percent), "prefixes")
     while True:
-        tops = components(links)
-        open_ = open_.join(tops.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "key", "rep", "n", F.coalesce("top", "rep").alias("top"))
-        sizes = open_.groupBy("key", "top").agg(F.count(F.lit(1)).alias("c"))
-        need = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("groups"), F.sum("c").alias("c"),
-                                        F.sum(F.col("c") * F.col("c")).alias("cc")).where("groups > 1")
-        need = need.select("key", ((F.col("c") * F.col("c") - F.col("cc")) / 2 > OPEN * F.col("c")).alias("hot"))
-        open_ = materialize(open_.join(need, "key"), "open")
-        if not open_.take(1):
-            break
-        fits = (F.least("l.n", "r.n") * 100 >= percent * F.greatest("l.n", "r.n")) & (F.col("l.top") != F.col("r.top"))
-        few = open_.where("not hot")
+        marked = open_.join(tops.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "key", "rep", "n", "pos", F.coalesce("top", "rep").alias("top"))
+        sizes = marked.groupBy("key", "top").agg(F.count(F.lit(1)).alias("c"))
+        need = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("groups"), F.sum("c").alias("c")).where("groups > 1")
+        need = need.select("key", (F.col("c") > OPEN).alias("hot"))
+        open_ = materialize(marked.join(need, "key"), "open")
+        # what is left of both sets from their first common shingle on must be enough
+        fits = ((F.least("l.n", "r.n") * 100 >= percent * F.greatest("l.n", "r.n"))
+                & (F.least(F.expr("l.n - l.pos"), F.expr("r.n - r.pos")) * (100 + percent)
+                   >= percent * F.expr("l.n + r.n")) & (F.col("l.top") != F.col("r.top")))
+        few, many = open_.where("not hot"), open_.where("hot")
         pairs = few.alias("l").join(few.alias("r"), (F.col("l.key") == F.col("r.key"))
                                     & (F.col("l.rep") < F.col("r.rep")) & fits).select(
             F.col("l.rep").alias("a"), F.col("r.rep").alias("b"))
-        many = open_.where("hot")
-        centre = many.groupBy("key").agg(F.min(F.struct("rep", "n", "top")).alias("c")).select(
-            "key", "c.rep", "c.n", "c.top")
+        centre = many.groupBy("key").agg(F.min(F.struct("rep", "n", "pos", "top")).alias("c")).select(
+            "key", "c.rep", "c.n", "c.pos", "c.top")
         rest = many.alias("r").join(centre.alias("l"), (F.col("l.key") == F.col("r.key"))
                                     & (F.col("l.rep") < F.col("r.rep")))
-        pairs = pairs.unionByName(rest.where(fits).select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")))
-        links = materialize(links.unionByName(linked(pairs.distinct())), "verified")
-        open_ = materialize(rest.select("r.key", "r.rep", "r.n"), "open")
-        if not open_.take(1):
-            tops = components(links)
+        pairs = materialize(pairs.unionByName(rest.where(fits).select(
+            F.col("l.rep").alias("a"), F.col("r.rep").alias("b"))).distinct(), "pairs")
+        if pairs.take(1):
+            more = materialize(linked(pairs), "verified")
+            if more.take(1):
+                links = links.unionByName(more)
+                tops = components(links)
+        if not many.take(1):
             break
+        open_ = materialize(rest.select("r.key", "r.rep", "r.n", "r.pos"), "rest")
     named = classes.join(tops, classes["rep"] == tops["node"], "left").select(
         "d1", "d2", F.coalesce("top", "rep").alias("component"))
     whole = rows.select("id", "n", F.when(F.expr("n > 0 and id is not null"), F.col("d1")).alias("d1"), "d2")

@@ -12,6 +12,7 @@ from reelhouse.llm.op3_bpe import bpe_documents
 from reelhouse.llm.op4_quality import quality_scores
 from reelhouse.llm.op5_exact import exact_dedup
 from reelhouse.llm.op6_counts import token_counts
+from reelhouse.llm.op7_lm import lm_scores
 from reelhouse.llm.op8_warc import warc_pages
 from reelhouse.llm.op9_html import extract_pages
 from reelhouse.llm.op10_decontam import decontaminate
@@ -49,6 +50,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest",
                                                             "record_type", "refers_to")
@@ -66,7 +71,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_near_dedup, op3_bpe, op4_quality, op5_exact_dedup, op6_token_counts,
-                            op8_warc, op9_html_text, op10_decontaminate)}
+                            op7_lm_score, op8_warc, op9_html_text, op10_decontaminate)}
 
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
