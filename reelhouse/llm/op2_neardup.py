@@ -133,7 +133,7 @@ def _sets(k: int):
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, rep, n, pos): the shingles of each set that any set of enough
+    """(key, rep, n, pos, p1, p2, p3; the last are the shingles before): the shingles of each set that any set of enough
     similarity must share one of: with all shingles in one fixed order, the
     first n - ceil(percent * n / 100) + 1. Shingles of many sets come last in
     that order, so that a passage that many documents have makes no pairs. The
@@ -145,7 +145,7 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     counts = sets.mapInArrow(_count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")).where(
         F.col("c") >= least).toArrow().sort_by("key")
     table = spark.sparkContext.broadcast((counts.column("key").to_numpy(), counts.column("c").to_numpy()))
-    return sets.mapInArrow(_first(table, percent), "key long, rep long, n long, pos long")
+    return sets.mapInArrow(_first(table, percent), "key long, rep long, n long, pos long, p1 long, p2 long, p3 long")
 
 
 def _count(batches):
@@ -170,11 +170,14 @@ def _first(table, percent: int):
                 size = len(x) + (-percent * len(x) // 100) + 1
                 keys.append(x[np.lexsort((x, rank))[:size]])
             n = [len(k) for k in keys]
+            flat = np.concatenate([np.zeros(0, np.int64), *keys])
+            pos = np.concatenate([np.zeros(0, np.int64), *[np.arange(x) for x in n]])
+            before = [pa.array(np.concatenate([np.zeros(min(k, len(flat)), np.int64), flat[:-k]]), mask=pos < k)
+                      for k in (1, 2, 3)]
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([np.zeros(0, np.int64), *keys])), pa.array(np.repeat(rep, n).astype(np.int64)),
-                pa.array(np.repeat(batch.column("n").to_numpy(), n)),
-                pa.array(np.concatenate([np.zeros(0, np.int64), *[np.arange(x) for x in n]]))],
-                names=["key", "rep", "n", "pos"])
+                pa.array(flat), pa.array(np.repeat(rep, n).astype(np.int64)),
+                pa.array(np.repeat(batch.column("n").to_numpy(), n)), pa.array(pos), *before],
+                names=["key", "rep", "n", "pos", "p1", "p2", "p3"])
     return run
 
 
@@ -239,7 +242,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_ = materialize(_prefixes(waiting, percent), "prefixes")
     while True:
         marked = open_.join(tops.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "key", "rep", "n", "pos", F.coalesce("top", "rep").alias("top"))
+            "key", "rep", "n", "pos", "p1", "p2", "p3", F.coalesce("top", "rep").alias("top"))
         sizes = marked.groupBy("key", "top").agg(F.count(F.lit(1)).alias("c"))
         need = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("groups"), F.sum("c").alias("c")).where("groups > 1")
         need = need.select("key", (F.col("c") > OPEN).alias("hot"))
@@ -247,13 +250,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # what is left of both sets from their first common shingle on must be enough
         fits = ((F.least("l.n", "r.n") * 100 >= percent * F.greatest("l.n", "r.n"))
                 & (F.least(F.expr("l.n - l.pos"), F.expr("r.n - r.pos")) * (100 + percent)
-                   >= percent * F.expr("l.n + r.n")) & (F.col("l.top") != F.col("r.top")))
+                   >= percent * F.expr("l.n + r.n")) & (F.col("l.top") != F.col("r.top"))
+                # a pair with a common shingle just before has been listed there
+                & ~F.expr("coalesce(l.p1 = r.p1 or l.p1 = r.p2 or l.p2 = r.p1 or l.p1 = r.p3 or l.p3 = r.p1, false)"))
         few, many = open_.where("not hot"), open_.where("hot")
         pairs = few.alias("l").join(few.alias("r"), (F.col("l.key") == F.col("r.key"))
                                     & (F.col("l.rep") < F.col("r.rep")) & fits).select(
             F.col("l.rep").alias("a"), F.col("r.rep").alias("b"))
-        centre = many.groupBy("key").agg(F.min(F.struct("rep", "n", "pos", "top")).alias("c")).select(
-            "key", "c.rep", "c.n", "c.pos", "c.top")
+        centre = many.groupBy("key").agg(F.min(F.struct("rep", "n", "pos", "p1", "p2", "p3", "top")).alias("c")).select("key", "c.*")
         rest = many.alias("r").join(centre.alias("l"), (F.col("l.key") == F.col("r.key"))
                                     & (F.col("l.rep") < F.col("r.rep")))
         pairs = materialize(pairs.unionByName(rest.where(fits).select(
@@ -265,7 +269,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 tops = components(links)
         if not many.take(1):
             break
-        open_ = materialize(rest.select("r.key", "r.rep", "r.n", "r.pos"), "rest")
+        open_ = materialize(rest.select(*[f"r.{c}" for c in ("key", "rep", "n", "pos", "p1", "p2", "p3")]), "rest")
     named = classes.join(tops, classes["rep"] == tops["node"], "left").select(
         "d1", "d2", F.coalesce("top", "rep").alias("component"))
     whole = rows.select("id", "n", F.when(F.expr("n > 0 and id is not null"), F.col("d1")).alias("d1"), "d2")
