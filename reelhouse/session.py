@@ -44,14 +44,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder in ``spark.checkpoint.dir`` (SparkContext
-    picks it up at start). Only when it is unset - local tests - do we make a
-    private folder under /tmp."""
+    picks it up at start). Only a local session without it - tests - gets a
+    private folder under /tmp; elsewhere that is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="reelhouse-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
