@@ -2,7 +2,7 @@
 
 ``ordered_prefix_sums`` gives, per distinct (partition..., key), the summed
 weights and their running totals in key order. It uses the same bucketing
-as ``global_rank``: approximate quantile bounds of the key (a lazily
+as ``global_rank``: bounds from a sample of the distinct keys (a lazily
 evaluated scalar subquery of bounded size) split the key axis into ordered
 buckets; windows run per (partition, bucket) and per-bucket totals supply
 the offsets. A hot key is one aggregated row, so skew does not reach the
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .rank import _proxy
+from .rank import _with_bucket
 
 
 def ordered_prefix_sums(df: DataFrame, key: str, weights: list[str], partition_cols=(),
@@ -24,20 +24,16 @@ def ordered_prefix_sums(df: DataFrame, key: str, weights: list[str], partition_c
         buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     agg = df.filter(F.col(key).isNotNull()).groupBy(*parts, key).agg(
         *[F.sum(w).alias(w) for w in weights])
-    sk = _proxy(F.col(key), df.schema[key].dataType)
-    agg = agg.withColumn("_sk", sk if ascending else -sk)
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = agg.agg(F.percentile_approx("_sk", probs, 10000)).scalar()
-    merged = F.sort_array(F.array_union(bounds, F.array(F.col("_sk"))))
-    agg = agg.withColumn("_b", F.array_position(merged, F.col("_sk")) - 1)
+    agg = _with_bucket(agg.withColumn("_k", F.col(key)).withColumn("_n", F.col(weights[0])),
+                       buckets, ascending, nulls_last=True).drop("_k", "_n")
     wb = Window.partitionBy(*parts).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1) \
         if parts else Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     bt = agg.groupBy(*parts, "_b").agg(*[F.sum(w).alias("_t_" + w) for w in weights])
-    bt = bt.select(*parts, "_b", *[F.coalesce(F.sum("_t_" + w).over(wb), F.lit(0)).alias("_o_" + w)
-                                   for w in weights])
+    bt = bt.select(*[F.col(c).alias("_g_" + c) for c in parts], F.col("_b").alias("_gb"), *[F.coalesce(F.sum("_t_" + w).over(wb), F.lit(0)).alias("_o_" + w)
+                                   for w in weights])      # a NULL group is a group
     kord = F.col(key).asc() if ascending else F.col(key).desc()
     wk = Window.partitionBy(*parts, "_b").orderBy(kord).rowsBetween(Window.unboundedPreceding, 0)
-    j = agg.join(bt, parts + ["_b"])
+    j = agg.join(bt, [F.col(c).eqNullSafe(F.col("_g_" + c)) for c in parts] + [F.col("_b") == F.col("_gb")])
     return j.select(*parts, key, *weights,
                     *[(F.col("_o_" + w) + F.sum(w).over(wk)).alias("cum_" + w) for w in weights])
 

@@ -3,110 +3,109 @@
 ``RANK() OVER (ORDER BY x)`` with no PARTITION BY makes Spark move every row
 into one task. ``global_rank`` instead:
 
-1. aggregates the input to distinct order keys with their multiplicities
-   (hash aggregate with map-side combine - a hot key costs one row) and
-   checkpoints that table to the shared checkpoint folder, so the steps
-   below read it instead of re-running the input plan;
-2. cuts the key space into ``buckets`` ordered ranges from approximate
-   quantiles, computed lazily as a scalar subquery (bounded: ``buckets``
-   values); equal keys always share a bucket, so ties stay whole;
-3. sums rows per bucket (at most ``buckets + 2`` rows) and turns those into
+1. cuts the key axis into ``buckets`` ordered ranges on the keys themselves,
+   whatever their type. The bounds come from a sample of at most
+   ``SAMPLE_KEYS`` distinct keys: per class of the key's hash, the key with
+   the smallest second hash. The sample depends on the key set alone, so
+   every evaluation and every partitioning gives the same bounds;
+2. sums rows per bucket (at most ``buckets + 2`` rows) and turns those into
    offsets with a window over the bucket table - a bounded broadcast;
-4. ranks keys inside each bucket with a window partitioned by bucket, adds
-   the bucket offset, and joins the ranks back to the rows on the key.
+3. orders keys inside each bucket with a window partitioned by bucket.
 
-Supported methods: rank, dense_rank, percent_rank, row_number (row_number
-requires a unique key). NULL keys form one tie group placed last or first.
+rank, dense_rank and percent_rank order the distinct keys with their
+multiplicities (hash aggregate with map-side combine - a hot key costs one
+row) and join the ranks back to the rows on the key; equal keys always share
+a bucket, so ties stay whole. row_number numbers the rows directly, without a
+join: rows of one key are ordered by a hash of the whole row, which also
+spreads a hot key over buckets; only fully repeated rows stay together.
+
+Everything is lazy: no job runs and nothing is stored while the plan is made.
+NULL keys form one tie group placed last or first.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.calendar import wall_micros
+#: Most keys in the sample behind the bucket bounds.
+SAMPLE_KEYS = 4096
+_METHODS = ("rank", "dense_rank", "percent_rank", "row_number")
+
+
+def _with_bucket(keys: DataFrame, buckets: int, ascending: bool, nulls_last: bool) -> DataFrame:
+    """Add ``_b``, the position of the key's range in rank order, to rows with
+    a key ``_k`` and a count ``_n``. ``_n`` travels with the sample so that the
+    bounds read the same shuffle as the ranks."""
+    sample = keys.filter(F.col("_k").isNotNull()) \
+        .groupBy(F.pmod(F.xxhash64("_k"), F.lit(SAMPLE_KEYS)).alias("_h")) \
+        .agg(F.min_by(F.struct("_k", "_n"), F.xxhash64("_k", F.lit(1))).alias("_s"))
+    bounds = sample.agg(F.sort_array(F.collect_list("_s")).alias("_a")).select(F.expr(
+        f"transform(sequence(1, {buckets - 1}), "
+        f"i -> get(_a, CAST(floor(i * CAST(size(_a) AS BIGINT) / {buckets}) AS INT))._k)")).scalar()
+    # the key's place in the sorted union of bounds and key = bounds on the far side of it
+    merged = F.sort_array(F.array_union(bounds, F.array(F.col("_k"))))
+    place = F.array_position(merged, F.col("_k"))
+    before = place - 1 if ascending else F.size(merged) - place
+    return keys.withColumn("_b", F.when(F.col("_k").isNull(), F.lit(buckets if nulls_last else -1))
+                           .otherwise(before).cast("int"))
 
-_STRING_PROXY_BYTES = 7
+
+def _offsets(counts: DataFrame) -> DataFrame:
+    """Rows and keys in the buckets before each bucket, and the total."""
+    wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    return (counts.groupBy("_b").agg(F.sum("_n").alias("_bn"), F.count(F.lit(1)).alias("_bd"))
+            .withColumn("_off", F.coalesce(F.sum("_bn").over(wb), F.lit(0)))
+            .withColumn("_doff", F.coalesce(F.sum("_bd").over(wb), F.lit(0)))
+            .withColumn("_total", F.sum("_bn").over(Window.partitionBy(F.lit(1))))
+            .select("_b", "_off", "_doff", "_total"))
 
 
-def _proxy(col: Column, dtype) -> Column:
-    """Numeric, order-preserving (non-decreasing) stand-in for the key."""
-    if isinstance(dtype, (T.StringType, T.BinaryType)):
-        head = F.substring(col.cast("binary"), 1, _STRING_PROXY_BYTES)
-        padded = F.concat(head, F.unhex(F.repeat(F.lit("00"), F.lit(_STRING_PROXY_BYTES) - F.length(head))))
-        return F.conv(F.hex(padded), 16, 10).cast("double")
-    if isinstance(dtype, (T.DateType,)):
-        return F.unix_date(col).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        return wall_micros(col).cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(col).cast("double")
-    return col.cast("double")
+def _numbered(df: DataFrame, key: Column, ascending: bool, nulls_last: bool, buckets: int,
+              out: str) -> DataFrame:
+    """Distinct numbers 1..n in key order, given to the rows themselves."""
+    null_side = key.isNull() if ascending == nulls_last else key.isNotNull()
+    full = F.struct(null_side.alias("side"), key.alias("key"),
+                    F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("tie"))
+    rows = _with_bucket(df.withColumn("_k", full).withColumn("_n", F.lit(1).cast("long")),
+                        buckets, ascending, nulls_last)
+    w = Window.partitionBy("_b").orderBy(F.col("_k").asc() if ascending else F.col("_k").desc())
+    numbered = rows.join(F.broadcast(_offsets(rows.select("_b", "_n"))), "_b") \
+        .withColumn(out, (F.col("_off") + F.row_number().over(w)).cast("long"))
+    return numbered.withColumnRenamed("_total", "_rank_total").drop("_b", "_k", "_n", "_off", "_doff")
 
 
 def global_rank(df: DataFrame, order_col: str, ascending: bool = True, method: str = "rank",
                 out: str | None = None, nulls_last: bool | None = None,
                 buckets: int | None = None, total_col: str | None = None,
-                extra: dict | None = None, materialize: bool = True) -> DataFrame:
+                extra: dict | None = None) -> DataFrame:
     """Add column ``out`` holding the whole-table rank of ``order_col``.
-    ``extra`` maps more output names to methods computed in the same pass;
-    ``total_col`` (optional) receives the table's row count."""
+    ``extra`` maps more output names to methods computed in the same pass
+    (not with row_number, which stands alone); ``total_col`` (optional)
+    receives the table's row count. An empty table gives an empty table."""
     methods = dict(extra or {})
     methods[out or method] = method
-    for m in methods.values():
-        if m not in ("rank", "dense_rank", "percent_rank", "row_number"):
-            raise ValueError(m)
+    if any(m not in _METHODS for m in methods.values()):
+        raise ValueError(f"unknown method in {methods}")
+    if "row_number" in methods.values() and len(methods) > 1:
+        raise ValueError("row_number cannot be combined with other methods")
     if nulls_last is None:
         nulls_last = not ascending          # NULL is the smallest value
-    spark = df.sparkSession
     if buckets is None:
-        buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    dtype = df.schema[order_col].dataType
+        buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     key = F.col(order_col)
+    if method == "row_number":
+        joined = _numbered(df, key, ascending, nulls_last, buckets, out or method)
+        return joined.withColumnRenamed("_rank_total", total_col) if total_col else joined.drop("_rank_total")
 
-    counts = df.groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    if materialize:
-        # One job computes the distinct keys; the bounds subquery, bucket
-        # totals and ranking then read the checkpoint (reliable, in the
-        # shared checkpoint folder) instead of re-running the input plan.
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)
-        counts = counts.checkpoint(eager=True)
-    sk = _proxy(F.col("_k"), dtype)
-    if not ascending:
-        sk = -sk
-    counts = counts.withColumn("_sk", sk)
-
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = counts.filter(F.col("_sk").isNotNull()) \
-        .agg(F.percentile_approx("_sk", probs, 10000).alias("b")).scalar()
-    # bucket = number of bounds strictly below the key: the key's position in
-    # the sorted union of bounds and key (array_union drops a duplicate).
-    merged = F.sort_array(F.array_union(bounds, F.array(F.col("_sk"))))
-    bucket = F.when(F.col("_sk").isNull(), F.lit(buckets + 1 if nulls_last else -1)) \
-        .otherwise(F.array_position(merged, F.col("_sk")) - 1)
-    counts = counts.withColumn("_b", bucket.cast("int"))
-
-    # Per-bucket totals -> offsets (at most buckets + 2 rows).
-    wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (counts.groupBy("_b").agg(F.sum("_n").alias("_bn"), F.count(F.lit(1)).alias("_bd"))
-               .withColumn("_off", F.coalesce(F.sum("_bn").over(wb), F.lit(0)))
-               .withColumn("_doff", F.coalesce(F.sum("_bd").over(wb), F.lit(0)))
-               .withColumn("_total", F.sum("_bn").over(Window.partitionBy(F.lit(1))))
-               .select("_b", "_off", "_doff", "_total"))
-
+    counts = _with_bucket(df.groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias("_n")),
+                          buckets, ascending, nulls_last)
     kord = F.col("_k").asc() if ascending else F.col("_k").desc()
     wk = Window.partitionBy("_b").orderBy(kord)
-    ranked = counts.join(F.broadcast(offsets), "_b")
+    ranked = counts.join(F.broadcast(_offsets(counts)), "_b")
     before = F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     outs = []
     for name, m in methods.items():
-        if m in ("rank", "percent_rank"):
-            r = F.col("_off") + before + 1
-        elif m == "dense_rank":
-            r = F.col("_doff") + F.row_number().over(wk)
-        else:  # row_number over a unique key
-            r = F.col("_off") + F.row_number().over(wk)
+        r = F.col("_doff") + F.row_number().over(wk) if m == "dense_rank" else F.col("_off") + before + 1
         if m == "percent_rank":
             r = F.when(F.col("_total") > 1, (r - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0))
             outs.append(r.cast("double").alias(name))

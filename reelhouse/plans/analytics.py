@@ -177,12 +177,11 @@ def content_roi(wh: Warehouse, min_views: int = 10) -> DataFrame:
 
 
 def q7_original_roi(wh: Warehouse, top: int = 20) -> DataFrame:
-    """Ranked per title (one row per original title, so a plain window)."""
-    r = content_roi(wh)
+    """Originals ranked by views per million; the first ``top`` of them."""
     vpm = F.col("views_per_million")
-    w = Window.orderBy(vpm.desc_nulls_last())
+    r = global_rank(content_roi(wh), "views_per_million", ascending=False, out="roi_rank")
     out = r.select(
-        F.rank().over(w).alias("roi_rank"), "title", "content_type", "genre", "cost_tier",
+        F.col("roi_rank").cast("int").alias("roi_rank"), "title", "content_type", "genre", "cost_tier",
         money_label(F.col("production_cost_usd")).alias("budget"), "total_views",
         "unique_viewers", "total_watch_min", "completion_pct", "views_per_million",
         "minutes_per_million",
@@ -193,10 +192,10 @@ def q7_original_roi(wh: Warehouse, top: int = 20) -> DataFrame:
 
 def q7_dense_rank(wh: Warehouse) -> DataFrame:
     """RANK and DENSE_RANK side by side on views per million (all originals)."""
-    r = content_roi(wh)
-    w = Window.orderBy(F.col("views_per_million").desc_nulls_last())
-    return r.select("title", "views_per_million", F.rank().over(w).alias("roi_rank"),
-                    F.dense_rank().over(w).alias("roi_dense_rank"))
+    r = global_rank(content_roi(wh), "views_per_million", ascending=False, out="roi_rank",
+                    extra={"roi_dense_rank": "dense_rank"})
+    return r.select("title", "views_per_million", F.col("roi_rank").cast("int").alias("roi_rank"),
+                    F.col("roi_dense_rank").cast("int").alias("roi_dense_rank"))
 
 
 # ---- checks written next to the fact and mart builds ------------------------

@@ -89,9 +89,9 @@ def interaction_sparsity(wh: Warehouse) -> DataFrame:
 def interaction_pivot_topk(wh: Warehouse, k: int = PIVOT_ITEMS) -> DataFrame:
     """User x item minutes for the k most viewed titles only (a bounded
     pivot; the full matrix stays in long form). Columns item_1..item_k."""
-    top = wh.content_stats.select("content_id", "total_views")
-    w = Window.orderBy(F.col("total_views").desc(), F.col("content_id"))
-    top = top.withColumn("item_rank", F.row_number().over(w)).filter(F.col("item_rank") <= k)
+    order = [F.col("total_views").desc(), F.col("content_id")]
+    top = wh.content_stats.select("content_id", "total_views").orderBy(*order).limit(k)
+    top = top.withColumn("item_rank", F.row_number().over(Window.orderBy(*order)))      # k rows
     i = interactions(wh).join(F.broadcast(top.select("content_id", "item_rank")), "content_id", "left")
     return i.groupBy("user_id").agg(*[
         F.coalesce(F.max(F.when(F.col("item_rank") == r, F.col("total_minutes"))), F.lit(0))

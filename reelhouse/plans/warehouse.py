@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from ..functions import (date_key, day_name, dec, month_name, mysql_avg, mysql_div,
                          mysql_week_monday, ym_label)
 from ..operators.overlap import active_by_month
+from ..operators.rank import global_rank
 from ..sources.adapters import RawTables, raw_tables
 
 # ---- fixed values (warehouse rules) ---------------------------------------
@@ -347,10 +348,8 @@ class Warehouse:
             .alias("views_per_dollar"),
             F.when(cost > 0, F.round(mysql_div(minutes, cost, 2), 6)).cast("decimal(10,6)")
             .alias("minutes_per_dollar"))
-        # One row per title (already aggregated): a plain window is cheap here;
-        # whole-table ranks over users or events go through ``global_rank``.
-        w = Window.orderBy(F.col("total_views").desc())
-        return out.withColumn("popularity_rank", F.rank().over(w).cast("int"))
+        return global_rank(out, "total_views", ascending=False, out="popularity_rank") \
+            .withColumn("popularity_rank", F.col("popularity_rank").cast("int"))
 
     @cached_property
     def report_months(self) -> DataFrame:

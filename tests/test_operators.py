@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helpers import same_rows
 from reelhouse.operators.overlap import active_by_month, active_by_month_explode
 from reelhouse.operators.prefix import group_quantiles, ordered_prefix_sums
-from reelhouse.operators.rank import global_rank
+from reelhouse.operators.rank import _with_bucket, global_rank
 from reelhouse.operators.sessions import sessionize
 from reelhouse.operators.similarity import block_similarity
 
@@ -41,6 +41,28 @@ def test_global_row_number_on_strings(spark):
     assert same_rows(got.select("id", "k", "rn").collect(), exp.collect())[0]
 
 
+def test_row_number_long_prefix_repeated_keys_and_nulls(spark):
+    rnd = random.Random(11)
+    rows = [("Customer#0000000%05d" % rnd.randint(0, 400),) for _ in range(600)] + [("hot",)] * 300 + [(None,)] * 50
+    df = spark.createDataFrame(rows, "k string")
+    for asc in (True, False):
+        got = [r["k"] for r in sorted(global_rank(df, "k", ascending=asc, method="row_number", out="rn",
+                                                  buckets=6).collect(), key=lambda r: r["rn"])]
+        want = sorted((k for k, in rows if k is not None), reverse=not asc)
+        assert got == ([None] * 50 + want if asc else want + [None] * 50)
+    nums = global_rank(df, "k", method="row_number", out="rn", buckets=6, total_col="n")
+    assert sorted(r["rn"] for r in nums.collect()) == list(range(1, 951))
+    assert nums.first()["n"] == 950
+    assert global_rank(df.limit(0), "k", out="r").count() == 0
+    assert global_rank(df.limit(0), "k", method="row_number", out="r").count() == 0
+
+
+def test_buckets_spread_keys_with_one_prefix(spark):
+    df = spark.range(5000).select(F.format_string("Customer#%012d", "id").alias("_k"), F.lit(1).alias("_n"))
+    per = [r["count"] for r in _with_bucket(df, 8, True, False).groupBy("_b").count().collect()]
+    assert len(per) == 8 and max(per) < 2 * 5000 / 8
+
+
 def test_prefix_sums_match_running_window(spark):
     rnd = random.Random(3)
     rows = [(rnd.choice("ab"), rnd.randint(0, 50) / 2, rnd.randint(0, 3)) for _ in range(500)]
