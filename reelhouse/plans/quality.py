@@ -132,10 +132,10 @@ def layer_row_counts(wh: Warehouse) -> DataFrame:
         "raw_users": wh.raw.users, "raw_subscriptions": wh.raw.subscriptions,
         "raw_content": wh.raw.content, "raw_viewing_events": wh.raw.viewing_events,
         "dim_date": wh.dim_date, "dim_device": wh.dim_device, "dim_users": wh.dim_users,
-        "dim_content": wh.dim_content, "fact_viewing_events": wh.fve,
+        "dim_content": wh.dim_content, "fact_viewing_events": wh.fact_viewing_events,
         "fact_subscriptions": wh.fact_subscriptions,
         "mart_user_engagement": wh.mart_user_engagement.select("user_id"),
-        "mart_content_performance": wh.dim_content.select("content_id"),
+        "mart_content_performance": wh.mart_content_performance.select("content_id"),
         "mart_subscription_metrics": wh.mart_subscription_metrics.select("ym"),
     }
     return _union([df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -147,10 +147,14 @@ def genre_share(wh: Warehouse) -> DataFrame:
 
 
 def mean_similarity(wh: Warehouse) -> DataFrame:
-    """Mean cosine similarity over all user pairs of the matrix, zero pairs
-    included: sum over positive pairs / (U (U - 1) / 2)."""
-    s = block_similarity(interactions_binary(wh))
-    users = interactions_binary(wh).agg(F.countDistinct("user_id")).scalar()
-    return s.agg(F.count(F.lit(1)).alias("positive_pairs"), F.sum("similarity").alias("_s")).select(
-        users.alias("n_users"), "positive_pairs",
-        F.round(F.col("_s") / (users * (users - 1) / 2), 6).alias("mean_similarity"))
+    """Mean cosine similarity over all U (U - 1) / 2 user pairs, zero pairs
+    included, without making a pair: a pair's similarity is the sum of
+    w_1 * w_2 over its common titles, w = 1 / sqrt(titles of the user), so the
+    pairs of one title add up to ((sum w)^2 - sum w^2) / 2."""
+    b = interactions_binary(wh).select("user_id", "content_id")
+    sizes = b.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    titles = b.join(sizes, "user_id").groupBy("content_id").agg(
+        F.sum(1 / F.sqrt("_n")).alias("_w"), F.sum(1 / F.col("_n")).alias("_w2"))
+    users = sizes.agg(F.count(F.lit(1))).scalar()
+    return titles.agg(F.sum((F.col("_w") * F.col("_w") - F.col("_w2")) / 2).alias("_s")).select(
+        users.alias("n_users"), F.round(F.col("_s") / (users * (users - 1) / 2), 6).alias("mean_similarity"))
