@@ -13,6 +13,8 @@ days are stitched together on a per-(key, day) summary table:
    a day's first event from step 2;
 4. session numbers = running count of session starts within the day plus
    the key's session starts on earlier days (again from the summary).
+
+A NULL key is a key like any other: its events get gaps and session numbers.
 """
 from __future__ import annotations
 
@@ -28,6 +30,14 @@ def _seconds_between(a, b):
     return F.floor((wall_micros(b) - wall_micros(a)) / F.lit(1000000)).cast("bigint")
 
 
+def _per_day(df: DataFrame, days: DataFrame, key: str) -> DataFrame:
+    """Adds the columns of the (key, day) summary to its events; NULL keys and
+    days meet their own summary row."""
+    days = days.withColumnsRenamed({key: "_k", "_day": "_d"})
+    return df.join(days, F.col(key).eqNullSafe(F.col("_k")) & F.col("_day").eqNullSafe(F.col("_d")),
+                   "left").drop("_k", "_d")
+
+
 def with_gap(df: DataFrame, key: str, ts: str, tiebreak: str, out: str = "gap_sec") -> DataFrame:
     """Adds ``prev_<ts>`` (the same key's previous event time, NULL first)
     and ``out`` = whole seconds since it."""
@@ -38,7 +48,7 @@ def with_gap(df: DataFrame, key: str, ts: str, tiebreak: str, out: str = "gap_se
     days = d.groupBy(key, "_day").agg(F.max(F.col(ts)).alias("_last"))
     w_key = Window.partitionBy(key).orderBy("_day")
     days = days.withColumn("_prev_day_last", F.lag("_last").over(w_key)).drop("_last")
-    d = d.join(days, [key, "_day"], "left")
+    d = _per_day(d, days, key)
     prev = F.coalesce(F.col("_prev_in_day"), F.col("_prev_day_last"))
     return (d.withColumn("prev_" + ts, prev)
             .withColumn(out, _seconds_between(F.col("prev_" + ts), F.col(ts)))
@@ -58,7 +68,7 @@ def sessionize(df: DataFrame, key: str, ts: str, tiebreak: str, gap_seconds: int
     starts = g.groupBy(key, "_day").agg(F.sum(F.col("is_new_session").cast("int")).alias("_n"))
     w_key = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     starts = starts.withColumn("_before", F.coalesce(F.sum("_n").over(w_key), F.lit(0))).drop("_n")
-    g = g.join(starts, [key, "_day"], "left")
+    g = _per_day(g, starts, key)
     g = g.withColumn("session_no", (F.col("_before") + F.col("_in_day")).cast("int"))
     return (g.withColumn("session_id", F.concat_ws("#", F.col(key).cast("string"),
                                                    F.col("session_no").cast("string")))

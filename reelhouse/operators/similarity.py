@@ -2,11 +2,14 @@
 
 A self-join on the item makes one task per item emit every user pair of
 that item: with a hot item watched by a third of the users that single task
-produces (U/3)^2 rows. Here users are hashed into ``blocks`` groups; Spark
-shuffles each user's item list to the block pairs it belongs to (each row is
-copied ``blocks`` times), and one grouped-map task per block pair multiplies
-the two small incidence matrices with numpy. Work per task is bounded by the
-block sizes, not by item popularity.
+produces (U/3)^2 rows. Here users are hashed into as many blocks as give
+``BLOCK_USERS`` users each; Spark shuffles each user's item list (one row a
+user) to the block pairs it belongs to, and one grouped-map task per block
+pair multiplies the two incidence matrices with numpy, ``ITEM_SLICE`` items
+at a time. A task's matrices take about 2 * 4 * BLOCK_USERS * ITEM_SLICE bytes
+for the slices and 30 * BLOCK_USERS^2 bytes for the scores (190 MB as set),
+whatever the number of users and titles; beside them are the item lists of
+two blocks.
 
 Two outputs:
 * ``all_pairs``: every pair with at least one shared item (left < right)
@@ -22,10 +25,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BLOCK_USERS = 2048
+ITEM_SLICE = 4096
+
 PAIR_SCHEMA = T.StructType([
     T.StructField("user_1", T.StringType()), T.StructField("user_2", T.StringType()),
     T.StructField("shared", T.LongType()), T.StructField("n_1", T.LongType()),
@@ -33,14 +39,37 @@ PAIR_SCHEMA = T.StructType([
 ])
 
 
-def _block_pair_rows(df: DataFrame, blocks: int, side: str) -> DataFrame:
-    """Copy each (user, item) row to every block pair holding its user's block."""
-    b = F.pmod(F.xxhash64("user_id"), F.lit(blocks)).cast("int")
-    others = F.array(*[F.lit(i) for i in range(blocks)])
-    return (df.select("user_id", "content_id", b.alias("_b"))
-            .select("*", F.explode(others).alias("_o"))
+def _users(df: DataFrame) -> DataFrame:
+    """One row a user with the list of distinct items (the catalogue bounds it)."""
+    return df.groupBy("user_id").agg(F.collect_set("content_id").alias("items"))
+
+
+def _block_pair_rows(users: DataFrame, blocks: Column, side: str) -> DataFrame:
+    """Copy each user to every block pair holding its block."""
+    b = F.pmod(F.xxhash64("user_id"), blocks).cast("int")
+    return (users.select("user_id", "items", b.alias("_b"),
+                         F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))).alias("_o"))
             .select(F.least("_b", "_o").alias("_lo"), F.greatest("_b", "_o").alias("_hi"),
-                    "_b", "user_id", "content_id", F.lit(side).alias("_side")))
+                    "_b", "user_id", "items", F.lit(side).alias("_side")))
+
+
+def _shared_items(left: pd.Series, right: pd.Series) -> np.ndarray:
+    """Number of common items of each left and right list, slice by slice."""
+    sizes = [left.map(len).to_numpy(), right.map(len).to_numpy()]
+    code, _ = pd.factorize(np.concatenate([*left, *right]))
+    cut = int(sizes[0].sum())
+    codes = code[:cut], code[cut:]
+    rows = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    shared = np.zeros((len(left), len(right)), dtype=np.float32)      # exact: counts below 2^24
+    for start in range(0, int(code.max()) + 1 if len(code) else 0, ITEM_SLICE):
+        part = []
+        for r, c, n in zip(rows, codes, sizes):
+            here = (c >= start) & (c < start + ITEM_SLICE)
+            m = np.zeros((len(n), ITEM_SLICE), dtype=np.float32)
+            m[r[here], c[here] - start] = 1.0
+            part.append(m)
+        shared += part[0] @ part[1].T
+    return shared
 
 
 def _pair_scores(pdf: pd.DataFrame, symmetric: bool, top_k: int | None) -> pd.DataFrame:
@@ -55,20 +84,13 @@ def _pair_scores(pdf: pd.DataFrame, symmetric: bool, top_k: int | None) -> pd.Da
         R = right[right["_b"] == rb]
         if L.empty or R.empty:
             continue
-        items = pd.Index(pd.unique(pd.concat([L["content_id"], R["content_id"]])))
-        lu = pd.Index(pd.unique(L["user_id"]))
-        ru = pd.Index(pd.unique(R["user_id"]))
-        A = np.zeros((len(lu), len(items)), dtype=np.float64)
-        A[lu.get_indexer(L["user_id"]), items.get_indexer(L["content_id"])] = 1.0
-        B = np.zeros((len(ru), len(items)), dtype=np.float64)
-        B[ru.get_indexer(R["user_id"]), items.get_indexer(R["content_id"])] = 1.0
-        shared = A @ B.T                           # exact small integers
-        n1 = A.sum(axis=1)
-        n2 = B.sum(axis=1)
+        shared = _shared_items(L["items"], R["items"])
+        n1 = L["items"].map(len).to_numpy(dtype=np.float64)
+        n2 = R["items"].map(len).to_numpy(dtype=np.float64)
         # fixed-width unicode arrays: vectorised comparisons in code-point
         # (= byte) order, like Spark's string ordering for these ids
-        lu_arr = np.asarray(lu.to_numpy(), dtype=str)
-        ru_arr = np.asarray(ru.to_numpy(), dtype=str)
+        lu_arr = np.asarray(L["user_id"].to_numpy(), dtype=str)
+        ru_arr = np.asarray(R["user_id"].to_numpy(), dtype=str)
         mask = shared > 0
         mask &= lu_arr[:, None] != ru_arr[None, :]
         if symmetric:
@@ -97,11 +119,6 @@ def _pair_scores(pdf: pd.DataFrame, symmetric: bool, top_k: int | None) -> pd.Da
     return pd.concat(out, ignore_index=True)
 
 
-def default_blocks(spark) -> int:
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, int(np.sqrt(2 * parts)))
-
-
 def block_similarity(left: DataFrame, right: DataFrame | None = None, blocks: int | None = None,
                      top_k: int | None = None) -> DataFrame:
     """Cosine similarity of binary rows ``(user_id, content_id)``.
@@ -109,10 +126,13 @@ def block_similarity(left: DataFrame, right: DataFrame | None = None, blocks: in
     ``right=None`` means left against itself, emitting each pair once
     (user_1 < user_2) unless ``top_k`` is set, in which case both directions
     are scored and each user keeps its best ``top_k`` per block pair."""
-    spark = left.sparkSession
-    blocks = blocks or default_blocks(spark)
     symmetric = right is None and top_k is None
-    r = left if right is None else right
-    rows = _block_pair_rows(left, blocks, "L").unionByName(_block_pair_rows(r, blocks, "R"))
+    lu = _users(left)
+    ru = lu if right is None else _users(right)
+    if blocks is None:      # a scalar of the plan, no job of its own
+        n = ru.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / BLOCK_USERS)).alias("n")).scalar()
+    else:
+        n = F.lit(blocks)
+    rows = _block_pair_rows(lu, n, "L").unionByName(_block_pair_rows(ru, n, "R"))
     fn = lambda pdf: _pair_scores(pdf, symmetric, top_k)
     return rows.groupBy("_lo", "_hi").applyInPandas(fn, PAIR_SCHEMA)

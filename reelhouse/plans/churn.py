@@ -34,11 +34,20 @@ def churn_features(wh: Warehouse) -> DataFrame:
 
 
 def stratified_split(wh: Warehouse) -> DataFrame:
-    """Per class, the first ceil(20%) users in md5(user_id) order are test."""
-    f = churn_features(wh).select("user_id", "is_churned")
-    w = Window.partitionBy("is_churned").orderBy(F.md5("user_id"), "user_id")
-    n = F.count(F.lit(1)).over(Window.partitionBy("is_churned"))
-    f = f.withColumn("_pos", F.row_number().over(w)).withColumn("_n", n)
+    """Per class, the first ceil(20%) users in md5(user_id) order are test.
+    Users are numbered inside the 4,096 even ranges of the first three hash
+    digits, after the users of the earlier ranges; the range table that gives
+    that offset has at most 2 * 4,096 rows, whatever the number of users."""
+    f = churn_features(wh).select("user_id", "is_churned", F.md5("user_id").alias("_h"))
+    f = f.withColumn("_range", F.substring("_h", 1, 3))
+    ranges = f.groupBy("is_churned", "_range").agg(F.count(F.lit(1)).alias("_size"))
+    by_class = Window.partitionBy("is_churned")
+    ranges = ranges.select(
+        "is_churned", "_range", F.sum("_size").over(by_class).alias("_n"),
+        (F.sum("_size").over(by_class.orderBy("_range")) - F.col("_size")).alias("_before"))
+    w = Window.partitionBy("is_churned", "_range").orderBy("_h", "user_id")
+    f = f.join(F.broadcast(ranges), ["is_churned", "_range"])
+    f = f.withColumn("_pos", F.col("_before") + F.row_number().over(w))
     n_test = F.floor((F.col("_n") * TEST_SHARE_TENTHS + 9) / 10)
     return f.select("user_id", "is_churned",
                     F.when(F.col("_pos") <= n_test, "test").otherwise("train").alias("split"))
@@ -173,17 +182,17 @@ def _assembled(wh: Warehouse, scaled: bool):
             t = model.transform(df)
             return t.withColumn("features", array_to_vector(
                 F.transform(vector_to_array("features"), lambda x: x / F.lit(fix))))
-        return rescale(train), rescale(test), n
+        return rescale(train), rescale(test), n, rescale(d)
     train = train.withColumnRenamed("raw_features", "features")
     test = test.withColumnRenamed("raw_features", "features")
-    return train, test, None
+    return train, test, None, d.withColumnRenamed("raw_features", "features")
 
 
 def churn_lr(wh: Warehouse) -> DataFrame:
     """L2 logistic regression (C = 1 as 1/n regParam) on train-scaled features."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import vector_to_array
-    train, test, n = _assembled(wh, scaled=True)
+    train, test, n, _ = _assembled(wh, scaled=True)
     lr = LogisticRegression(featuresCol="features", labelCol="is_churned", maxIter=1000,
                             regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False)
     model = lr.fit(train)
@@ -193,17 +202,18 @@ def churn_lr(wh: Warehouse) -> DataFrame:
                     F.col("prediction").cast("int").alias("predicted"))
 
 
-def churn_rf(wh: Warehouse, with_importance: bool = False):
-    """Random forest: 100 trees, depth 10, balanced class weights, seed 42."""
+def churn_rf(wh: Warehouse, with_importance: bool = False, everyone: bool = False):
+    """Random forest: 100 trees, depth 10, balanced class weights, seed 42.
+    Scores the test part, or every modelled user (``everyone``)."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.functions import vector_to_array
-    train, test, _ = _assembled(wh, scaled=False)
+    train, test, _, users = _assembled(wh, scaled=False)
     w = class_weights(wh).select("is_churned", "weight")
     train = train.join(F.broadcast(w), "is_churned")
     rf = RandomForestClassifier(featuresCol="features", labelCol="is_churned", weightCol="weight",
                                 numTrees=100, maxDepth=10, minInstancesPerNode=2, seed=SEED)
     model = rf.fit(train)
-    p = model.transform(test).select(
+    p = model.transform(users if everyone else test).select(
         "user_id", F.col("is_churned").alias("actual"),
         vector_to_array("probability")[1].alias("probability"),
         F.col("prediction").cast("int").alias("predicted"))
@@ -219,8 +229,9 @@ def churn_rf_importance(wh: Warehouse) -> DataFrame:
 
 
 def churn_targets(wh: Warehouse, threshold: float = 0.6) -> DataFrame:
-    """Users the forest scores above ``threshold``, with their favourite genre."""
-    p = churn_rf(wh)
+    """All users, of the training part too, that the forest scores above
+    ``threshold``, with their favourite genre."""
+    p = churn_rf(wh, everyone=True)
     fav = wh.mart_user_engagement.select("user_id", "favorite_genre", "region", "current_plan")
     return p.filter(F.col("probability") > threshold).join(fav, "user_id", "left")
 

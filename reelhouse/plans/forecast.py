@@ -2,7 +2,7 @@
 seasonal autoregression fitted per series.
 
 The single-series SARIMA of the notebook is re-aimed to many series at once
-(all users, each device, each region): every series is one group of a
+(all users, each device, region and genre): every series is one group of a
 grouped-map (``applyInPandas``) task. A series has one row per day, so a
 group is bounded by the calendar, never by the event volume.
 """
@@ -65,7 +65,7 @@ def forecast_metrics(wh: Warehouse) -> DataFrame:
 
 # ---- many-series seasonal autoregression --------------------------------------------
 def segment_series(wh: Warehouse) -> DataFrame:
-    """(series, full_date, dau) for all users, each device and each region,
+    """(series, full_date, dau) for all users, each device, region and genre,
     gap-filled with 0 between each series' first and last day."""
     f = wh.fve
     by_device = f.groupBy("device_type", "event_date").agg(F.countDistinct("user_id").alias("dau")) \
@@ -74,8 +74,12 @@ def segment_series(wh: Warehouse) -> DataFrame:
     by_region = wh.user_days.join(regions, "user_id").groupBy("region", "event_date") \
         .agg(F.count(F.lit(1)).alias("dau")) \
         .select(F.concat(F.lit("region:"), F.col("region")).alias("series"), "event_date", "dau")
+    genres = wh.dim_content.select("content_id", "genre")
+    by_genre = f.join(genres, "content_id").groupBy("genre", "event_date") \
+        .agg(F.countDistinct("user_id").alias("dau")) \
+        .select(F.concat(F.lit("genre:"), F.col("genre")).alias("series"), "event_date", "dau")
     total = wh.daily_fact.select(F.lit("all").alias("series"), "event_date", "dau")
-    d = total.unionByName(by_device).unionByName(by_region)
+    d = total.unionByName(by_device).unionByName(by_region).unionByName(by_genre)
     span = d.groupBy("series").agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi"))
     cal = span.select("series", F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("event_date"))
     return cal.join(d, ["series", "event_date"], "left").select(
@@ -130,30 +134,29 @@ def _forecast(history: np.ndarray, coef, sigma, steps: int):
 
 
 def _series_forecast(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Last 30 days of a series; NULL forecasts where it is too short to fit."""
     pdf = pdf.sort_values("full_date")
     y = pdf["dau"].to_numpy(dtype=float)
-    if len(y) <= HORIZON:
-        return pd.DataFrame(columns=[f.name for f in FORECAST_SCHEMA.fields])
     train, test = y[:-HORIZON], y[-HORIZON:]
     fit = _fit(train)
     if fit is None:
-        return pd.DataFrame(columns=[f.name for f in FORECAST_SCHEMA.fields])
-    coef, sigma, _, _ = fit
-    mean, lo, hi = _forecast(train, coef, sigma, HORIZON)
+        mean = lo = hi = np.full(len(test), np.nan)
+    else:
+        coef, sigma, _, _ = fit
+        mean, lo, hi = _forecast(train, coef, sigma, HORIZON)
     return pd.DataFrame({"series": pdf["series"].iloc[0], "full_date": pdf["full_date"].iloc[-HORIZON:].values,
                          "actual": test, "forecast": mean, "lower": lo, "upper": hi})
 
 
 def _series_fit(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One row a series; only its length where it is too short to fit."""
     pdf = pdf.sort_values("full_date")
     y = pdf["dau"].to_numpy(dtype=float)
-    cols = [f.name for f in FIT_SCHEMA.fields]
-    if len(y) <= HORIZON:
-        return pd.DataFrame(columns=cols)
     train, test = y[:-HORIZON], y[-HORIZON:]
     fit = _fit(train)
     if fit is None:
-        return pd.DataFrame(columns=cols)
+        unknown = {f.name: np.nan for f in FIT_SCHEMA.fields}
+        return pd.DataFrame([unknown | {"series": pdf["series"].iloc[0], "n_train": len(train)}])
     coef, sigma, rss, n = fit
     k = 3
     ll = n * np.log(rss / n) if rss > 0 else -np.inf

@@ -99,16 +99,16 @@ DOMAINS = [("raw_subscriptions", "plan_type", PLAN_TYPES), ("raw_subscriptions",
 def dq_domains(wh: Warehouse) -> DataFrame:
     """Values outside each column's list, and texts longer than declared."""
     raw = _raw(wh)
+    rules = [(t, c, "domain", ~F.col(c).isin(*values)) for t, c, values in DOMAINS]
+    rules += [(t, c, f"length<={n}", F.length(c) > n) for t, widths in MAX_LENGTHS.items()
+              for c, n in widths.items()]
     out = []
-    for t, c, values in DOMAINS:
-        out.append(raw[t].agg(F.count_if(~F.col(c).isin(*values)).alias("violations"))
-                   .select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
-                           F.lit("domain").alias("check_name"), "violations"))
-    for t, widths in MAX_LENGTHS.items():
-        for c, n in widths.items():
-            out.append(raw[t].agg(F.count_if(F.length(c) > n).alias("violations"))
-                       .select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
-                               F.lit(f"length<={n}").alias("check_name"), "violations"))
+    for table in dict.fromkeys(t for t, _, _, _ in rules):      # one scan per table
+        mine = [(c, check, broken) for t, c, check, broken in rules if t == table]
+        wide = raw[table].agg(*[F.count_if(broken).alias(f"_{i}") for i, (_, _, broken) in enumerate(mine)])
+        stack = ", ".join(f"'{c}', '{check}', _{i}" for i, (c, check, _) in enumerate(mine))
+        out.append(wide.select(F.lit(table).alias("table_name"), F.expr(
+            f"stack({len(mine)}, {stack}) AS (column_name, check_name, violations)")))
     return _union(out)
 
 

@@ -310,7 +310,7 @@ class Warehouse:
             "user_id", "username", "region", "age_group",
             F.col("current_plan_type").alias("current_plan"), "signup_date", "days_since_signup",
             F.coalesce("total_watch_events", F.lit(0)).alias("total_watch_events"),
-            F.coalesce("total_watch_minutes", F.lit(0)).cast("decimal(12,2)").alias("total_watch_minutes"),
+            F.coalesce("total_watch_minutes", F.lit(0)).cast("decimal(20,2)").alias("total_watch_minutes"),
             c.alias("total_completed"), a.alias("total_abandoned"),
             F.when(c + a > 0, completion_rate(c, a, 2)).cast("decimal(5,2)").alias("completion_rate"),
             F.coalesce("distinct_content_watched", F.lit(0)).alias("distinct_content_watched"),
@@ -331,7 +331,7 @@ class Warehouse:
         views = F.coalesce(F.col("total_views"), F.lit(0))
         comp = F.coalesce(F.col("total_completions"), F.lit(0))
         ab = F.coalesce(F.col("total_abandons"), F.lit(0))
-        minutes = F.coalesce(F.round(F.col("minutes"), 2), F.lit(0)).cast("decimal(12,2)")
+        minutes = F.coalesce(F.round(F.col("minutes"), 2), F.lit(0)).cast("decimal(20,2)")
         cost = F.col("production_cost_usd")
         out = j.select(
             "content_id", "title", "content_type", "genre", "release_year", "duration_minutes",
@@ -386,7 +386,7 @@ class Warehouse:
             F.coalesce("st", F.lit(0)).alias("active_standard"),
             F.coalesce("pr", F.lit(0)).alias("active_premium"),
             tot.alias("total_active"),
-            F.round(rev, 2).cast("decimal(12,2)").alias("monthly_revenue"),
+            F.round(rev, 2).cast("decimal(20,2)").alias("monthly_revenue"),
             F.when(tot - ft > 0, F.round(mysql_div(rev, tot - ft, 2), 2)).cast("decimal(8,2)")
             .alias("avg_revenue_per_user"))
 

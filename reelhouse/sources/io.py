@@ -82,7 +82,7 @@ def build_warehouse(wh, out_dir: str) -> dict[str, str]:
 
     def put(name: str, df: DataFrame, part: str | None = None) -> DataFrame:
         path = f"{out_dir.rstrip('/')}/{name}"
-        w = df.write.mode("overwrite")
+        w = (df.repartition(part) if part else df).write.mode("overwrite")
         if part:
             w = w.partitionBy(part)
         w.parquet(path)
@@ -107,10 +107,10 @@ def build_warehouse(wh, out_dir: str) -> dict[str, str]:
 
 def write_scores(wh, out_dir: str) -> dict[str, str]:
     """Write model outputs back next to the warehouse tables: churn
-    probabilities of the random forest, per-series DAU forecasts and every
+    probabilities of the random forest for every user, per-series DAU forecasts and every
     user's top-10 recommendations (each a full overwrite)."""
     from ..plans import churn, forecast, recommend
-    outputs = {"churn_predictions": churn.churn_rf(wh), "dau_forecasts": forecast.dau_forecast(wh),
+    outputs = {"churn_predictions": churn.churn_rf(wh, everyone=True), "dau_forecasts": forecast.dau_forecast(wh),
                "recommendations": recommend.recommend_topn(wh)}
     paths = {}
     for name, df in outputs.items():

@@ -154,3 +154,31 @@ def test_block_similarity_matches_self_join(spark):
         sj.select(F.col("user_2").alias("user_1"), "similarity"))
     exp = {r["user_1"]: r["m"] for r in full.groupBy("user_1").agg(F.max("similarity").alias("m")).collect()}
     assert {r["user_1"]: r["m"] for r in best} == exp
+
+
+def test_sessions_number_null_keys(spark):
+    rows = [(None, "2024-01-01 10:00:00", "a"), (None, "2024-01-01 10:10:00", "b"), (None, "2024-01-02 09:00:00", "c"),
+            ("u", "2024-01-01 23:55:00", "d"), ("u", "2024-01-02 00:05:00", "e")]
+    df = spark.createDataFrame(rows, "k string, t string, id string").withColumn("t", F.to_timestamp("t"))
+    got = {r.id: (r.gap_sec, r.session_no) for r in sessionize(df, "k", "t", "id", 3600).collect()}
+    assert got == {"a": (None, 1), "b": (600, 1), "c": (82200, 2), "d": (None, 1), "e": (600, 1)}
+
+
+def test_similarity_slices_items(spark, monkeypatch):
+    import numpy as np
+    import pandas as pd
+    from reelhouse.operators import similarity
+    monkeypatch.setattr(similarity, "ITEM_SLICE", 3)
+    left = pd.Series([["a", "b", "c", "d", "e"], ["x"], []])
+    right = pd.Series([["e", "d", "z"], ["x", "a"]])
+    assert np.array_equal(similarity._shared_items(left, right), [[2, 1], [0, 1], [0, 0]])
+
+
+def test_short_series_keep_a_row():
+    import pandas as pd
+    from reelhouse.plans import forecast
+    pdf = pd.DataFrame({"series": "s", "full_date": pd.date_range("2024-01-01", periods=12).date, "dau": 1.0})
+    out = forecast._series_forecast(pdf)
+    assert len(out) == 12 and out["forecast"].isna().all() and out["actual"].eq(1).all()
+    fit = forecast._series_fit(pdf)
+    assert len(fit) == 1 and fit["n_train"].iloc[0] == 0 and fit["aic"].isna().all()
