@@ -3,9 +3,10 @@
 A mask is laid over every window of words; the words under its ones are hashed,
 those under its zeros may differ. Benchmark hashes are joined with document
 hashes; each hit names a benchmark item and a diagonal, along which the words
-are compared and the best run is taken: +1 for an equal word, -4 for a
-different one, so a run has at least 80 % equal words. A document is
-contaminated where a run has ``MIN_RUN`` words, or the whole of a shorter item.
+are compared and the longest run is taken: any stretch with at least 80 % equal
+words. A document is contaminated where a run has ``MIN_RUN`` words (of 13
+words, two may differ anywhere), or the whole of a shorter item (8 and 9 words:
+one may differ, 10 to 12: two, fewer than 8: none).
 """
 from __future__ import annotations
 
@@ -18,8 +19,11 @@ from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, Str
 from reelhouse.llm.common import GOLDEN, golden, mix64
 from reelhouse.llm.words import word_hashes
 
-#: Every run of 13 words with up to two substitutions has a hit of one of these (tests try all cases).
-MASKS = ("11101011", "11001111")
+#: Every run of ``MIN_RUN`` or more words has a hit of one of these (tests try all cases); the first two do for
+#: 13 words with up to two substitutions, the others for longer runs with more.
+MASKS = ("11101011", "11001111", "111011", "11110101")
+#: The same for items of 8 to 12 words.
+SHORT_MASKS = ("1111", "11101")
 SPAN = 8
 MIN_RUN = 13
 #: Benchmark words that are sent to the executors at once (8 bytes each, and their seeds); a larger
@@ -45,6 +49,11 @@ def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
     return mix64(out + golden((int(mask, 2) << 6) + len(mask)))
 
 
+def masks_of(n: int) -> tuple[str, ...]:
+    """Masks of an item of n words."""
+    return MASKS if n >= MIN_RUN else SHORT_MASKS if n >= SPAN else ("1" * n,) if n else ()
+
+
 class Items:
     """Word hashes and seeds of some benchmark items."""
 
@@ -52,7 +61,7 @@ class Items:
         self.ids, self.words = ids, words
         tables: dict[str, list[tuple[np.ndarray, int]]] = {m: [] for m in MASKS}
         for k, w in enumerate(words):
-            for mask in MASKS if len(w) >= SPAN else ("1" * len(w),) if len(w) else ():
+            for mask in masks_of(len(w)):
                 tables.setdefault(mask, []).append((seeds(w, mask), k))
         self.tables = {}
         for mask, parts in tables.items():
@@ -79,19 +88,27 @@ class Items:
                 found.update((int(rows[i]), int(item[k]), i - int(place[k])) for k in range(lo[w], hi[w]))
         return found
 
-    def run(self, hashes: np.ndarray, first: int, last: int, item: int, start: int) -> tuple[int, int]:
-        """Words of the best run on a diagonal and how many are equal; the
+    def run(self, hashes: np.ndarray, first: int, last: int, item: int, start: int) -> int:
+        """Equal words of the longest run on a diagonal, 0 if there is none; the
         document has the words first..last-1, the item would begin at start."""
         words = self.words[item]
         a, b = max(start, first), min(start + len(words), last)
+        need = min(MIN_RUN, len(words))
+        if b - a < need:
+            return 0
         equal = hashes[a:b] == words[a - start:b - start]
         if equal.all():
-            return len(equal), len(equal)
+            return len(equal)
+        if len(words) < SPAN:
+            return 0
+        # at least 80 % equal: +1 for an equal word, -4 for another, and the sum is not negative
         total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -4))])
-        low = np.minimum.accumulate(total)
-        end = int(np.argmax(total - low))
-        begin = int(np.flatnonzero(total[:end + 1] == low[end])[0])
-        return end - begin, int(equal[begin:end].sum())
+        begin = np.searchsorted(-np.minimum.accumulate(total), -total, "left")
+        length = np.arange(len(total)) - begin
+        if length.max() < need:
+            return 0
+        count = np.concatenate([[0], np.cumsum(equal)])
+        return int((count - count[begin])[length == length.max()].max())
 
 
 def _find(items):
@@ -103,8 +120,8 @@ def _find(items):
                 hits = known.hits(rows, hashes)
                 for row, item, start in hits:
                     first, last = np.searchsorted(rows, [row, row + 1])
-                    length, equal = known.run(hashes, int(first), int(last), item, start)
-                    if length >= min(MIN_RUN, len(known.words[item])):
+                    equal = known.run(hashes, int(first), int(last), item, start)
+                    if equal:
                         got[lo + row].append((item, equal))
             best = [max((e for _, e in x), default=0) for x in got]
             named = [sorted({known.ids[k] for k, _ in x if known.ids[k] is not None}) for x in got]
