@@ -23,8 +23,9 @@ WINDOW, SURGE, LINKS = 3, 80, 0.6
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"""
                   r"""|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)>""", re.S)
-_ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until))|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTR = re.compile(r"""([^\s=/>]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>][^\s>]*)))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+_ARTICLE = re.compile(r"<(?:article|main)[\s/>]", re.I)
 
 #: Elements whose content is raw text and no page text.
 RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "math", "object", "xmp"}
@@ -40,6 +41,11 @@ STRUCK_WORDS = {
     "pagination", "paywall", "popup", "promo", "promotion", "reader-comments", "recommended", "related", "replies",
     "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored",
     "subscribe", "subscription", "taboola", "tags", "toolbar", "topbar", "widget",
+    # compounds, for articles, where a first or last part does not count
+    "ad-container", "ad-slot", "ad-unit", "ad-wrapper", "comment-list", "comments-area", "comments-section",
+    "cookie-banner", "cookie-notice", "newsletter-form", "newsletter-signup", "related-articles", "related-content",
+    "related-links", "related-posts", "share-bar", "share-buttons", "share-links", "social-buttons", "social-links",
+    "social-media", "social-share",
 }
 #: Elements that do not end a line.
 INLINE = {
@@ -51,26 +57,37 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 _WORD = re.compile(r"[\s_]+|-+")
 
 
-def _marked(rest: str) -> bool:
-    """Whether attributes mark a part that is no article text."""
-    if _HIDDEN.search(rest):
-        return True
+def _marked(rest: str) -> int:
+    """Whether attributes mark a part that is no article text: 1 if it is not
+    shown or a whole token of class, id or role is listed, 2 if only the first
+    or last part of a token is, else 0."""
+    attributes: dict[str, str] = {}
     for name, a, b, c in _ATTR.findall(rest):
-        if name.lower() in ("class", "id", "role"):
-            for value in (a or b or c).lower().split():
-                words = _WORD.split(value)
-                if value in STRUCK_WORDS or words[0] in STRUCK_WORDS or words[-1] in STRUCK_WORDS:
-                    return True
-    return False
-
-
-def lines_of(page: str) -> tuple[list[list], bool]:
+        attributes.setdefault(name.lower(), a or b or c)
+    if not attributes.get("hidden", "false").strip().lower().startswith(("false", "until")) \
+            or attributes.get("aria-hidden", "").strip().lower() == "true" \
+            or _NO_DISPLAY.search(attributes.get("style", "")):
+        return 1
+    grade = 0
+    for name in ("class", "id", "role"):
+        for value in attributes.get(name, "").lower().split():
+            if value in STRUCK_WORDS:
+                return 1
+            words = _WORD.split(value)
+            if words[0] in STRUCK_WORDS or words[-1] in STRUCK_WORDS:
+                grade = 2
+    return grade
+
+
+def lines_of(page: str, whole: bool = False) -> tuple[list[list], bool]:
     """Lines of a page as [text, length for the distribution, in article,
-    length of link text], and whether an article with text is marked."""
+    length of link text], and whether an article with text is marked. In
+    articles, and everywhere if ``whole``, only whole tokens of class, id and
+    role strike a part."""
     lines: list[list] = []
     text: list[str] = []
     linked = struck_depth = articles = links = 0
-    struck_name = ""
+    struck_name, loose = "", False
     at, n = 0, len(page)
 
     def end() -> None:
@@ -107,12 +124,14 @@ def lines_of(page: str) -> tuple[list[list], bool]:
                 text.append(" ")
             elif name == "a":
                 links = 0 if closing else 1
-            if name not in ("span", "a", "label") or not (struck_depth or _struck(name, m["rest"], closing, articles)):
+            if name not in ("span", "a", "label") or not (
+                    struck_depth or _struck(name, m["rest"], closing, articles, whole)):
                 if not (struck_depth and name == struck_name):
                     continue
         end()
         if struck_depth:
-            if name in ("article", "main") and not closing and struck_name not in ("article", "main", "div", "section"):
+            if name in ("article", "main") and not closing and (
+                    struck_name not in ("article", "main", "div", "section") or loose and name == "main"):
                 struck_depth, struck_name = 0, ""      # an open menu cannot hold the article
             elif name == struck_name:
                 struck_depth += -1 if closing else 1
@@ -126,23 +145,24 @@ def lines_of(page: str) -> tuple[list[list], bool]:
         if name in ("article", "main"):
             articles = max(0, articles + (-1 if closing else 1))
         elif not closing and name not in VOID and not m["rest"].endswith("/") \
-                and _struck(name, m["rest"], closing, articles):
-            struck_depth, struck_name = 1, name
+                and (grade := _struck(name, m["rest"], closing, articles, whole)):
+            struck_depth, struck_name, loose = 1, name, grade == 2
     end()
     return lines, any(x[1] and x[2] for x in lines)
 
 
-def _struck(name: str, rest: str, closing: bool, articles: int) -> bool:
-    if closing:
-        return False
-    if name == "header" and articles:
-        return False
-    return name in STRUCK or bool(rest) and name not in ("body", "html", "h1") and _marked(rest)
+def _struck(name: str, rest: str, closing: bool, articles: int, whole: bool) -> int:
+    """0, or 1 or 2 as ``_marked`` says."""
+    if closing or name == "header" and articles:
+        return 0
+    if name in STRUCK:
+        return 1
+    grade = _marked(rest) if rest and name not in ("body", "html", "h1") else 0
+    return 0 if grade == 2 and (articles or whole) else grade
 
 
-def main_text(page: str | None) -> str:
-    """Blocks of the main text, joined by an empty line."""
-    lines, marked = lines_of(page or "")
+def _candidates(lines: list[list], marked: bool) -> tuple[list[str], list[str]]:
+    """Lines of all candidates, and of the longest that is no candidate for its length only."""
     length = [(x[1] if x[2] or not marked else 0) if marked or x[3] < LINKS * len(x[0]) else 0 for x in lines]
     n, need = len(length), 1 if marked else SURGE
     window = [sum(length[max(0, i - WINDOW + 1):i + 1]) for i in range(n)]
@@ -161,6 +181,17 @@ def main_text(page: str | None) -> str:
             out += part
         elif sum(map(len, part)) > sum(map(len, best)):
             best = part
+    return out, best
+
+
+def main_text(page: str | None) -> str:
+    """Blocks of the main text, joined by an empty line."""
+    page = page or ""
+    out, best = _candidates(*lines_of(page))
+    if not out and _ARTICLE.search(page):            # its article may lie in a part struck for half a class name
+        lines, marked = lines_of(page, whole=True)
+        if marked:
+            out, _ = _candidates(lines, marked)
     return "\n\n".join(out or best)
 
 
