@@ -45,9 +45,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of the benchmark."""
+    """Documents without passages of the benchmark. Items under eight words count only as a whole text."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate(docs, benchmark).where("not contaminated").select(*_columns(docs))
+    return decontaminate(docs, benchmark).where("not contaminated or only_short").select(*_columns(docs))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -111,24 +111,32 @@ class Items:
         return int((count - count[begin])[length == length.max()].max())
 
 
+def is_short(item_words: int, doc_words: int) -> bool:
+    """Whether a match says little: an item under ``SPAN`` words that is not the whole text."""
+    return item_words < SPAN and item_words != doc_words
+
+
 def _find(items):
     def run(batches):
         known: Items = items.value
         for batch in batches:
-            got: list[list[tuple[int, int]]] = [[] for _ in range(batch.num_rows)]
+            got: list[list[tuple[int, int, bool]]] = [[] for _ in range(batch.num_rows)]
             for lo, n, rows, hashes in word_hashes(batch.column("_llm_text")):
                 hits = known.hits(rows, hashes)
                 for row, item, start in hits:
                     first, last = np.searchsorted(rows, [row, row + 1])
                     equal = known.run(hashes, int(first), int(last), item, start)
                     if equal:
-                        got[lo + row].append((item, equal))
-            best = [max((e for _, e in x), default=0) for x in got]
-            named = [sorted({known.ids[k] for k, _ in x if known.ids[k] is not None}) for x in got]
+                        got[lo + row].append((item, equal, is_short(len(known.words[item]), int(last - first))))
+            best = [max((e for _, e, _ in x), default=0) for x in got]
+            named, short = ([sorted({known.ids[k] for k, _, s in x if known.ids[k] is not None and (s or not only)})
+                             for x in got] for only in (False, True))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in batch.schema.names if c != "_llm_text"],
-                 pa.array([bool(x) for x in got]), pa.array(named, pa.list_(pa.int64())), pa.array(best, pa.int64())],
-                names=[*[c for c in batch.schema.names if c != "_llm_text"], "_llm_hit", "_llm_items", "_llm_words"])
+                 pa.array([bool(x) for x in got]), pa.array(named, pa.list_(pa.int64())), pa.array(best, pa.int64()),
+                 pa.array(short, pa.list_(pa.int64())), pa.array([any(not s for *_, s in x) for x in got], pa.bool_())],
+                names=[*[c for c in batch.schema.names if c != "_llm_text"], "_llm_hit", "_llm_items", "_llm_words",
+                       "_llm_short", "_llm_long"])
     return run
 
 
@@ -161,29 +169,36 @@ def benchmark_slices(benchmark: DataFrame, id_col: str, text_col: str) -> list[I
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
                   item_text: str = "text") -> DataFrame:
-    """All columns of ``docs`` plus ``contaminated``, ``item_ids`` (sorted) and
-    ``longest_match`` (equal words of the longest run).
+    """All columns of ``docs`` plus ``contaminated``, ``item_ids`` (sorted),
+    ``longest_match`` (equal words of the longest run), ``short_item_ids`` (those
+    of fewer than eight words that match inside a longer text) and
+    ``only_short`` (contaminated by nothing but such items).
 
     Words are split at ``[\\x20\\x09-\\x0D]`` with A-Z lowered. Items with fewer
     than eight words match where their whole sequence occurs. Null and empty
     texts and items match nothing; items without an id match, but are not
     listed. Every row gives one row; empty tables give an empty table or no
     match. Input columns of these names are replaced."""
-    names = {"contaminated", "item_ids", "longest_match"}
+    names = {"contaminated", "item_ids", "longest_match", "short_item_ids", "only_short"}
     spark = docs.sparkSession
     keep = [c for c in docs.columns if c.lower() not in names]
     slices = benchmark_slices(benchmark, item_id, item_text) or [Items([], [])]
     out = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("_llm_text"),
                       F.lit(False).alias("_h"), F.array().cast("array<bigint>").alias("_i"),
-                      F.lit(0).cast("long").alias("_w"))
+                      F.lit(0).cast("long").alias("_w"), F.array().cast("array<bigint>").alias("_s"),
+                      F.lit(False).alias("_l"))
     for items in slices:
         schema = StructType([*[f for f in out.schema.fields if f.name != "_llm_text"],
                              StructField("_llm_hit", BooleanType()), StructField("_llm_items", ArrayType(LongType())),
-                             StructField("_llm_words", LongType())])
+                             StructField("_llm_words", LongType()), StructField("_llm_short", ArrayType(LongType())),
+                             StructField("_llm_long", BooleanType())])
         found = out.mapInArrow(_find(spark.sparkContext.broadcast(items)), schema)
         out = found.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("_llm_text"),
                            (F.col("_h") | F.col("_llm_hit")).alias("_h"),
                            F.array_sort(F.array_union("_i", "_llm_items")).alias("_i"),
-                           F.greatest("_w", "_llm_words").alias("_w"))
+                           F.greatest("_w", "_llm_words").alias("_w"),
+                           F.array_sort(F.array_union("_s", "_llm_short")).alias("_s"),
+                           (F.col("_l") | F.col("_llm_long")).alias("_l"))
     return out.select(*[F.col(f"`{c}`") for c in keep], F.col("_h").alias("contaminated"),
-                      F.col("_i").alias("item_ids"), F.col("_w").alias("longest_match"))
+                      F.col("_i").alias("item_ids"), F.col("_w").alias("longest_match"),
+                      F.col("_s").alias("short_item_ids"), (F.col("_h") & ~F.col("_l")).alias("only_short"))

@@ -66,7 +66,7 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "contaminated", "item_ids",
-                                                                         "longest_match")
+                                                                         "longest_match", "short_item_ids")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

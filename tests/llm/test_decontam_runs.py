@@ -70,3 +70,20 @@ def test_two_substitutions_anywhere(spark):
     for r in got:
         k = len(cases[r.doc_id])
         assert (r.contaminated, r.item_ids, r.longest_match) == ((True, [7], 13 - k) if k <= 2 else (False, [], 0))
+
+
+def test_short_items(spark, tmp_path):
+    import corpus_pipeline
+    long_item = " ".join(f"q{k}" for k in range(20))
+    spark.createDataFrame([(1, "yes"), (2, long_item), (None, "no way"), (4, "a b c d e f g"), (5, "a b c d e f g h")],
+                          "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, "Oh yes it is"), (2, "YES"), (3, f"yes {long_item}"), (4, "there is no way out"), (5, "no way"),
+            (6, "x a b c d e f g"), (7, "x a b c d e f g h"), (8, "clean"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.contaminated, r.item_ids, r.short_item_ids, r.only_short)
+           for r in decontaminate(docs, spark.read.parquet(f"{tmp_path}/benchmark.parquet")).collect()}
+    assert got == {1: (True, [1], [1], True), 2: (True, [1], [], False), 3: (True, [1, 2], [1], False),
+                   4: (True, [], [], True), 5: (True, [], [], False), 6: (True, [4], [4], True),
+                   7: (True, [4, 5], [4], False), 8: (False, [], [], False), 9: (False, [], [], False)}
+    left = corpus_pipeline.leaks(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in left.collect()) == [1, 4, 6, 8, 9] and left.columns == docs.columns
