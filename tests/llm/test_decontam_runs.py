@@ -87,3 +87,30 @@ def test_short_items(spark, tmp_path):
                    7: (True, [4, 5], [4], False), 8: (False, [], [], False), 9: (False, [], [], False)}
     left = corpus_pipeline.leaks(spark, docs, str(tmp_path))
     assert sorted(r.doc_id for r in left.collect()) == [1, 4, 6, 8, 9] and left.columns == docs.columns
+
+
+def test_join_of_a_large_benchmark(spark, monkeypatch):
+    """A benchmark over the broadcast size gives the same rows, and no rows of it go to the driver."""
+    from pyspark.sql import functions as F
+
+    from reelhouse.llm import op10_decontam
+    sf = "/root/testdata/sf0.001"
+    odd = [(1, "x", "yes"), (1, "x", "yes"), (None, "y", "oh yes a b c d e f g h i"), (2, "z", None), (3, "z", ""),
+           (4, "z", "a b c d x f g h i"), (5, "z", " ".join(f"q{k}" if k % 7 else "no" for k in range(13)))]
+    docs = spark.createDataFrame(odd, "doc_id long, lang string, text string").unionByName(
+        spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text"))
+    items = [(1001, "yes"), (1002, "a b c d e f g h i"), (None, "oh yes"), (1003, ""), (1004, None),
+             (1005, " ".join(f"q{k}" for k in range(13)))]
+    bench = spark.createDataFrame(items, "item_id long, text string").unionByName(
+        spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text"))
+    key = lambda frame: sorted(map(str, frame.collect()))
+    want = key(decontaminate(docs, bench))
+    monkeypatch.setattr(op10_decontam, "BROADCAST_WORDS", 100)
+
+    def never(*_, **__):
+        raise AssertionError("rows of the benchmark at the driver")
+    monkeypatch.setattr(type(docs), "toLocalIterator", never)
+    out = decontaminate(docs, bench)
+    assert key(out) == want
+    assert out.where("contaminated").count() > 4 and out.where(F.col("item_ids").isNull()).count() == 0
+    assert decontaminate(docs.limit(0), bench).count() == 0
