@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from llm_brute import brute_near, low
 from reelhouse.llm import op2_neardup, op8_warc, queries
 from reelhouse.llm.bpe import StreamDecoder, decode, load, tokenizer_path
 from reelhouse.llm.components import components, union_find
@@ -44,10 +45,6 @@ def empty(edge):
     return edge.limit(0)
 
 
-def low(text):
-    return (text or "").encode().lower()
-
-
 def test_empty_tables_give_empty_tables(spark, empty):
     bench = spark.createDataFrame([], "item_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
@@ -85,17 +82,6 @@ def test_line_dedup(edge):
     assert (3, LONG, 1, 0, None) in got and (None, "", 1, 1, None) in got
 
 
-def brute_near(rows, k, percent):
-    def shingles(t):
-        w = low(t).split()
-        return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} or ({tuple(w)} if w else set())
-    sets = [(i, shingles(t)) for i, t in rows]
-    links = [(a, b) for (a, x), (b, y) in itertools.combinations([s for s in sets if s[0] is not None], 2)
-             if x and y and 100 * len(x & y) >= percent * len(x | y)]
-    top = union_find(links)
-    return {(i, len(s), None if i is None else top.get(i, i)) for i, s in sets}
-
-
 def near_rows(out):
     return {(r.doc_id, r.n_shingles, r.component_id) for r in out.collect()}
 

@@ -2,6 +2,7 @@
 import pytest
 
 import corpus_pipeline as p
+from llm_brute import brute_near
 from reelhouse.llm.common import materialize
 
 SF = "/root/testdata/sf0.001"
@@ -27,7 +28,6 @@ def test_stages_keep_the_columns_and_narrow(steps):
 
 
 def test_near_dedup_and_leaks_against_brute_force(steps, spark):
-    from test_operators import brute_near
     lines, near, clean = steps[2], steps[3], steps[4]
     want = {i for i, _, top in brute_near(list(zip(lines.doc_id, lines.text, strict=True)), 5, 80) if i == top}
     assert set(near.doc_id) == want
