@@ -16,6 +16,9 @@ from reelhouse.llm.op7_lm import lm_scores
 from reelhouse.llm.op8_warc import warc_pages
 from reelhouse.llm.op9_html import extract_pages
 from reelhouse.llm.op10_decontam import decontaminate
+from reelhouse.llm.op11_toxic import toxicity_scores
+from reelhouse.llm.op12_variants import spelling_variants
+from reelhouse.llm.op13_divergence import source_divergence
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,9 +72,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                                          "longest_match", "short_item_ids")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity_scores(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_near_dedup, op3_bpe, op4_quality, op5_exact_dedup, op6_token_counts,
-                            op7_lm_score, op8_warc, op9_html_text, op10_decontaminate)}
+                            op7_lm_score, op8_warc, op9_html_text, op10_decontaminate, op11_toxicity, op12_spelling_variants,
+                            op13_source_divergence)}
 
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -99,4 +116,33 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to
 FROM t""",
+    "op13_source_divergence": f"""
+WITH d AS (SELECT row_number() OVER () AS id, {_LOW.format("coalesce(text, '')")} AS t, coalesce(lang, '') AS lang,
+                  coalesce(source, '') AS source FROM documents),
+found AS (SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM found GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+uses AS (SELECT lang, source, term, count(*) AS n FROM found JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang, source FROM d)
+      LEFT JOIN uses USING (lang, source) GROUP BY lang, source),
+full_p AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+                  1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (total + v)::HUGEINT AS p
+           FROM g JOIN kept k ON g.lang = k.lang JOIN v ON v.lang = g.lang
+           LEFT JOIN uses u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+         FROM full_p a JOIN full_p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+lang_uses AS (SELECT lang, term, sum(n) AS n FROM uses GROUP BY lang, term),
+lang_total AS (SELECT lang, sum(n) AS total FROM lang_uses GROUP BY lang),
+lang_q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 1)::HUGEINT) // (total + v)::HUGEINT AS q
+           FROM lang_uses JOIN lang_total USING (lang) JOIN v USING (lang)),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value
+          FROM full_p JOIN lang_q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+       (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT AS rank FROM pairs
+UNION ALL
+SELECT lang, source, 'term', item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT
+FROM terms QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) <= 200""",
 }
