@@ -1,69 +1,62 @@
 """Ordered prefix sums and exact group quantiles without single-task windows.
 
 ``ordered_prefix_sums`` gives, per distinct (partition..., key), the summed
-weights and their running totals in key order. It uses the same bucketing
-as ``global_rank``: bounds from a sample of the distinct keys (a lazily
-evaluated scalar subquery of bounded size) split the key axis into ordered
-buckets; windows run per (partition, bucket) and per-bucket totals supply
-the offsets. A hot key is one aggregated row, so skew does not reach the
-windows.
+weights and their running totals in key order. The distinct keys with their
+sums are stored once, cut into ranges of (partition..., key) and sorted
+(``stored.py``); windows run per (partition, range), and the sums of the ranges
+before supply the offsets. A hot key is one aggregated row, so skew does not
+reach the windows. The input is read once, by the job that stores the sums.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .rank import _with_bucket
+from .stored import before_range, store_in_order
 
 
 def ordered_prefix_sums(df: DataFrame, key: str, weights: list[str], partition_cols=(),
                         ascending: bool = True, buckets: int | None = None) -> DataFrame:
     parts = list(partition_cols)
-    spark = df.sparkSession
     if buckets is None:
-        buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    agg = df.filter(F.col(key).isNotNull()).groupBy(*parts, key).agg(
-        *[F.sum(w).alias(w) for w in weights])
-    agg = _with_bucket(agg.withColumn("_k", F.col(key)).withColumn("_n", F.col(weights[0])),
-                       buckets, ascending, nulls_last=True).drop("_k", "_n")
-    wb = Window.partitionBy(*parts).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1) \
-        if parts else Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    bt = agg.groupBy(*parts, "_b").agg(*[F.sum(w).alias("_t_" + w) for w in weights])
-    bt = bt.select(*[F.col(c).alias("_g_" + c) for c in parts], F.col("_b").alias("_gb"), *[F.coalesce(F.sum("_t_" + w).over(wb), F.lit(0)).alias("_o_" + w)
-                                   for w in weights])      # a NULL group is a group
-    kord = F.col(key).asc() if ascending else F.col(key).desc()
-    wk = Window.partitionBy(*parts, "_b").orderBy(kord).rowsBetween(Window.unboundedPreceding, 0)
-    j = agg.join(bt, [F.col(c).eqNullSafe(F.col("_g_" + c)) for c in parts] + [F.col("_b") == F.col("_gb")])
-    return j.select(*parts, key, *weights,
-                    *[(F.col("_o_" + w) + F.sum(w).over(wk)).alias("cum_" + w) for w in weights])
+        buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    order = F.col(key).asc() if ascending else F.col(key).desc()
+    agg = df.filter(F.col(key).isNotNull()).groupBy(*parts, key).agg(*[F.sum(w).alias(w) for w in weights])
+    rows = store_in_order(agg, [*[F.col(c) for c in parts], order], buckets)
+    totals = before_range(rows.groupBy(*parts, "_range").agg(*[F.sum(w).alias(w) for w in weights]), weights, parts)
+    totals = totals.select(*[F.col(c).alias("_g_" + c) for c in parts], F.col("_range").alias("_g_range"),
+                           *[f"_before_{w}" for w in weights])
+    within = Window.partitionBy(*parts, "_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    # a NULL group is a group
+    joined = rows.join(totals, [F.col(c).eqNullSafe(F.col("_g_" + c)) for c in parts] + [F.col("_range") == F.col("_g_range")])
+    return joined.select(*parts, key, *weights,
+                         *[(F.col(f"_before_{w}") + F.sum(w).over(within)).alias("cum_" + w) for w in weights])
 
 
 def group_quantiles(df: DataFrame, group_cols, value: str, probs, prefix: str = "q") -> DataFrame:
     """Exact quantiles with linear interpolation (lo + (hi - lo) * frac at
-    position p * (n - 1)), per group, one column per probability."""
+    position p * (n - 1)), per group, one column per probability.
+
+    Each distinct value covers a run of positions; a group's quantile takes the
+    values whose runs hold the positions below and above. That is one aggregate
+    over the running counts joined to the groups' sizes."""
     groups = list(group_cols)
     d = df.select(*groups, F.col(value).cast("double").alias("_v"), F.lit(1).cast("bigint").alias("_one"))
-    ps = ordered_prefix_sums(d, "_v", ["_one"], groups)
-    sizes = ps.groupBy(*groups).agg(F.max("cum__one").alias("_n"))
-    pos_rows = []
+    runs = ordered_prefix_sums(d, "_v", ["_one"], groups)
+    sizes = runs.groupBy(*groups).agg(F.max("cum__one").alias("_n")).select(
+        *[F.col(c).alias("_s_" + c) for c in groups], "_n")
+    if groups:
+        runs = runs.join(sizes, [F.col(c).eqNullSafe(F.col("_s_" + c)) for c in groups])
+    else:
+        runs = runs.withColumn("_n", sizes.agg(F.max("_n")).scalar())
+    holds = lambda place: (F.col("cum__one") - F.col("_one") <= place) & (place < F.col("cum__one"))
+    low, outs = {}, []
     for i, p in enumerate(probs):
-        h = F.lit(float(p)) * (F.col("_n") - 1).cast("double")
-        lo = F.floor(h)
-        for side, idx in (("lo", lo), ("hi", F.least(lo + 1, F.col("_n") - 1))):
-            pos_rows.append(sizes.select(*groups, F.lit(i).alias("_p"), F.lit(side).alias("_side"),
-                                         idx.cast("bigint").alias("_idx"),
-                                         (h - lo).alias("_frac")))
-    pos = pos_rows[0]
-    for r in pos_rows[1:]:
-        pos = pos.unionByName(r)
-    cond = [pos[g].eqNullSafe(ps[g]) for g in groups] + [
-        (ps["cum__one"] - ps["_one"]) <= pos["_idx"], pos["_idx"] < ps["cum__one"]]
-    hit = pos.join(ps, cond).select(*[pos[g] for g in groups], "_p", "_side", "_frac", "_v")
-    wide = hit.groupBy(*groups, "_p").agg(
-        F.max(F.when(F.col("_side") == "lo", F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_side") == "hi", F.col("_v"))).alias("_hi"),
-        F.max("_frac").alias("_frac"))
-    wide = wide.withColumn("_q", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac"))
-    return wide.groupBy(*groups).agg(
-        *[F.max(F.when(F.col("_p") == i, F.col("_q"))).alias(f"{prefix}{int(round(p * 100))}")
-          for i, p in enumerate(probs)])
+        at = F.lit(float(p)) * (F.col("_n") - 1).cast("double")
+        first = F.floor(at)
+        low[i] = [F.max(F.when(holds(first), F.col("_v"))).alias(f"_lo{i}"),
+                  F.max(F.when(holds(F.least(first + 1, F.col("_n") - 1)), F.col("_v"))).alias(f"_hi{i}"),
+                  F.max(at - first).alias(f"_frac{i}")]
+        outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_frac{i}"))
+                    .alias(f"{prefix}{int(round(p * 100))}"))
+    return runs.groupBy(*groups).agg(*[c for i in low for c in low[i]]).select(*groups, *outs)

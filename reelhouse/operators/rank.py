@@ -1,77 +1,35 @@
 """Whole-table ranking without a single-partition window.
 
 ``RANK() OVER (ORDER BY x)`` with no PARTITION BY makes Spark move every row
-into one task. ``global_rank`` instead:
+into one task. ``global_rank`` instead stores the rows once, cut into ranges of
+the key and sorted (``stored.py``): a row's number is its place in its range
+plus the rows of the ranges before it, a table of one row for a range. Rows of
+one key are ordered by a hash of the whole row, and the ranges are cut on that
+too, so a hot key is spread over several ranges.
 
-1. cuts the key axis into ``buckets`` ordered ranges on the keys themselves,
-   whatever their type. The bounds come from a sample of at most
-   ``SAMPLE_KEYS`` distinct keys: per class of the key's hash, the key with
-   the smallest second hash. The sample depends on the key set alone, so
-   every evaluation and every partitioning gives the same bounds;
-2. sums rows per bucket (at most ``buckets + 2`` rows) and turns those into
-   offsets with a window over the bucket table - a bounded broadcast;
-3. orders keys inside each bucket with a window partitioned by bucket.
+* row_number is that number;
+* rank of a key is the smallest number of its rows, percent_rank follows;
+* dense_rank numbers the distinct keys the same way.
 
-rank, dense_rank and percent_rank order the distinct keys with their
-multiplicities (hash aggregate with map-side combine - a hot key costs one
-row) and join the ranks back to the rows on the key; equal keys always share
-a bucket, so ties stay whole. row_number numbers the rows directly, without a
-join: rows of one key are ordered by a hash of the whole row, which also
-spreads a hot key over buckets; only fully repeated rows stay together.
-
-Everything is lazy: no job runs and nothing is stored while the plan is made.
-NULL keys form one tie group placed last or first.
+The ranks are joined back to the stored rows on the key. The input is read
+once, whatever the number of methods; making the plan runs the job that stores
+it. NULL keys form one tie group placed last or first.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Most keys in the sample behind the bucket bounds.
-SAMPLE_KEYS = 4096
-_METHODS = ("rank", "dense_rank", "percent_rank", "row_number")
-
+from .stored import numbered, store_in_order
 
-def _with_bucket(keys: DataFrame, buckets: int, ascending: bool, nulls_last: bool) -> DataFrame:
-    """Add ``_b``, the position of the key's range in rank order, to rows with
-    a key ``_k`` and a count ``_n``. ``_n`` travels with the sample so that the
-    bounds read the same shuffle as the ranks."""
-    sample = keys.filter(F.col("_k").isNotNull()) \
-        .groupBy(F.pmod(F.xxhash64("_k"), F.lit(SAMPLE_KEYS)).alias("_h")) \
-        .agg(F.min_by(F.struct("_k", "_n"), F.xxhash64("_k", F.lit(1))).alias("_s"))
-    bounds = sample.agg(F.sort_array(F.collect_list("_s")).alias("_a")).select(F.expr(
-        f"transform(sequence(1, {buckets - 1}), "
-        f"i -> get(_a, CAST(floor(i * CAST(size(_a) AS BIGINT) / {buckets}) AS INT))._k)")).scalar()
-    # the key's place in the sorted union of bounds and key = bounds on the far side of it
-    merged = F.sort_array(F.array_union(bounds, F.array(F.col("_k"))))
-    place = F.array_position(merged, F.col("_k"))
-    before = place - 1 if ascending else F.size(merged) - place
-    return keys.withColumn("_b", F.when(F.col("_k").isNull(), F.lit(buckets if nulls_last else -1))
-                           .otherwise(before).cast("int"))
-
-
-def _offsets(counts: DataFrame) -> DataFrame:
-    """Rows and keys in the buckets before each bucket, and the total."""
-    wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    return (counts.groupBy("_b").agg(F.sum("_n").alias("_bn"), F.count(F.lit(1)).alias("_bd"))
-            .withColumn("_off", F.coalesce(F.sum("_bn").over(wb), F.lit(0)))
-            .withColumn("_doff", F.coalesce(F.sum("_bd").over(wb), F.lit(0)))
-            .withColumn("_total", F.sum("_bn").over(Window.partitionBy(F.lit(1))))
-            .select("_b", "_off", "_doff", "_total"))
+_METHODS = ("rank", "dense_rank", "percent_rank", "row_number")
 
 
-def _numbered(df: DataFrame, key: Column, ascending: bool, nulls_last: bool, buckets: int,
-              out: str) -> DataFrame:
-    """Distinct numbers 1..n in key order, given to the rows themselves."""
-    null_side = key.isNull() if ascending == nulls_last else key.isNotNull()
-    full = F.struct(null_side.alias("side"), key.alias("key"),
-                    F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("tie"))
-    rows = _with_bucket(df.withColumn("_k", full).withColumn("_n", F.lit(1).cast("long")),
-                        buckets, ascending, nulls_last)
-    w = Window.partitionBy("_b").orderBy(F.col("_k").asc() if ascending else F.col("_k").desc())
-    numbered = rows.join(F.broadcast(_offsets(rows.select("_b", "_n"))), "_b") \
-        .withColumn(out, (F.col("_off") + F.row_number().over(w)).cast("long"))
-    return numbered.withColumnRenamed("_total", "_rank_total").drop("_b", "_k", "_n", "_off", "_doff")
+def _order(key: str, ascending: bool, nulls_last: bool):
+    c = F.col(key)
+    if ascending:
+        return c.asc_nulls_last() if nulls_last else c.asc_nulls_first()
+    return c.desc_nulls_last() if nulls_last else c.desc_nulls_first()
 
 
 def global_rank(df: DataFrame, order_col: str, ascending: bool = True, method: str = "rank",
@@ -79,40 +37,33 @@ def global_rank(df: DataFrame, order_col: str, ascending: bool = True, method: s
                 buckets: int | None = None, total_col: str | None = None,
                 extra: dict | None = None) -> DataFrame:
     """Add column ``out`` holding the whole-table rank of ``order_col``.
-    ``extra`` maps more output names to methods computed in the same pass
-    (not with row_number, which stands alone); ``total_col`` (optional)
-    receives the table's row count. An empty table gives an empty table."""
+    ``extra`` maps more output names to methods computed in the same pass;
+    ``total_col`` (optional) receives the table's row count; ``buckets`` is the
+    number of key ranges. An empty table gives an empty table."""
     methods = dict(extra or {})
     methods[out or method] = method
     if any(m not in _METHODS for m in methods.values()):
         raise ValueError(f"unknown method in {methods}")
-    if "row_number" in methods.values() and len(methods) > 1:
-        raise ValueError("row_number cannot be combined with other methods")
     if nulls_last is None:
         nulls_last = not ascending          # NULL is the smallest value
     if buckets is None:
         buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    key = F.col(order_col)
-    if method == "row_number":
-        joined = _numbered(df, key, ascending, nulls_last, buckets, out or method)
-        return joined.withColumnRenamed("_rank_total", total_col) if total_col else joined.drop("_rank_total")
+    order = _order("_key", ascending, nulls_last)
+    rows = df.withColumn("_key", F.col(order_col)).withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    rows = numbered(store_in_order(rows, [order, F.col("_tie")], buckets), "_number")
 
-    counts = _with_bucket(df.groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias("_n")),
-                          buckets, ascending, nulls_last)
-    kord = F.col("_k").asc() if ascending else F.col("_k").desc()
-    wk = Window.partitionBy("_b").orderBy(kord)
-    ranked = counts.join(F.broadcast(_offsets(counts)), "_b")
-    before = F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    outs = []
-    for name, m in methods.items():
-        r = F.col("_doff") + F.row_number().over(wk) if m == "dense_rank" else F.col("_off") + before + 1
-        if m == "percent_rank":
-            r = F.when(F.col("_total") > 1, (r - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0))
-            outs.append(r.cast("double").alias(name))
-        else:
-            outs.append(r.cast("long").alias(name))
-    ranked = ranked.select("_k", *outs, F.col("_total").alias("_rank_total"))
-    joined = df.join(ranked, key.eqNullSafe(F.col("_k")), "inner").drop("_k")
+    keys = rows.groupBy("_key").agg(F.min("_number").alias("_rank"))
+    if "dense_rank" in methods.values():
+        keys = numbered(store_in_order(keys, [order], buckets), "_dense").drop("_range", "_place")
+    made = {"rank": F.col("_rank"), "dense_rank": F.col("_dense") if "dense_rank" in methods.values() else None,
+            "row_number": F.col("_number"),
+            "percent_rank": F.when(F.col("_total") > 1, (F.col("_rank") - 1) / (F.col("_total") - 1)).otherwise(0.0)}
+    wanted = set(methods.values())
+    if wanted & {"rank", "dense_rank", "percent_rank"}:
+        rows = rows.withColumnRenamed("_key", "_own").join(keys, F.col("_own").eqNullSafe(F.col("_key")))
+    if total_col or "percent_rank" in wanted:
+        rows = rows.withColumn("_total", rows.agg(F.count(F.lit(1))).scalar())
+    outs = [made[m].cast("double" if m == "percent_rank" else "long").alias(name) for name, m in methods.items()]
     if total_col:
-        return joined.withColumnRenamed("_rank_total", total_col)
-    return joined.drop("_rank_total")
+        outs.append(F.col("_total").alias(total_col))
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], *outs)

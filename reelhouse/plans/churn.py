@@ -141,8 +141,7 @@ def roc_points(wh: Warehouse, scored: DataFrame | None = None) -> DataFrame:
     d = s.select(F.col("score").cast("double").alias("threshold"), F.col("actual").cast("long").alias("pos"),
                  (1 - F.col("actual")).cast("long").alias("neg"))
     ps = ordered_prefix_sums(d, "threshold", ["pos", "neg"], ascending=False)
-    p = s.agg(F.count_if(F.col("actual") == 1)).scalar()
-    n = s.agg(F.count_if(F.col("actual") == 0)).scalar()
+    p, n = ps.agg(F.max("cum_pos")).scalar(), ps.agg(F.max("cum_neg")).scalar()
     return ps.select("threshold", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                      F.when(p > 0, F.col("cum_pos") / p).alias("tpr"),
                      F.when(n > 0, F.col("cum_neg") / n).alias("fpr"))

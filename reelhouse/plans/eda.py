@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.prefix import group_quantiles
+from ..operators.stored import store
 from .warehouse import Warehouse
 
 RISKS = ["low", "medium", "high", "churned"]
@@ -38,8 +39,8 @@ def catalog_genre_share(wh: Warehouse) -> DataFrame:
 def watch_quartiles_by_risk(wh: Warehouse) -> DataFrame:
     """Box-plot numbers of total minutes per churn risk: exact quartiles
     (linear interpolation) and 1.5 IQR whiskers."""
-    m = wh.mart_user_engagement.filter(F.col("churn_risk").isin(*RISKS)) \
-        .select("churn_risk", F.col("total_watch_minutes").cast("double").alias("x"))
+    m = store(wh.mart_user_engagement.filter(F.col("churn_risk").isin(*RISKS))
+              .select("churn_risk", F.col("total_watch_minutes").cast("double").alias("x")), "risk-minutes")
     q = group_quantiles(m, ["churn_risk"], "x", [0.25, 0.5, 0.75])
     q = q.withColumn("iqr", F.col("q75") - F.col("q25"))
     j = m.join(q, "churn_risk")

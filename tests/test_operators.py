@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from helpers import same_rows
 from reelhouse.operators.overlap import active_by_month, active_by_month_explode
 from reelhouse.operators.prefix import group_quantiles, ordered_prefix_sums
-from reelhouse.operators.rank import _with_bucket, global_rank
+from reelhouse.operators.rank import global_rank
+from reelhouse.operators.stored import store_in_order
 from reelhouse.operators.sessions import sessionize
 from reelhouse.operators.similarity import block_similarity
 
@@ -57,10 +58,25 @@ def test_row_number_long_prefix_repeated_keys_and_nulls(spark):
     assert global_rank(df.limit(0), "k", method="row_number", out="r").count() == 0
 
 
-def test_buckets_spread_keys_with_one_prefix(spark):
-    df = spark.range(5000).select(F.format_string("Customer#%012d", "id").alias("_k"), F.lit(1).alias("_n"))
-    per = [r["count"] for r in _with_bucket(df, 8, True, False).groupBy("_b").count().collect()]
+def test_ranges_spread_keys_with_one_prefix_and_hot_keys(spark):
+    df = spark.range(5000).select(F.format_string("Customer#%012d", "id").alias("k"), F.xxhash64("id").alias("t"))
+    per = [r["count"] for r in store_in_order(df, [F.col("k")], 8).groupBy("_range").count().collect()]
     assert len(per) == 8 and max(per) < 2 * 5000 / 8
+    hot = df.withColumn("k", F.when(F.col("t") % 3 == 0, F.lit("Customer#000000002500")).otherwise(F.col("k")))
+    per = [r["count"] for r in store_in_order(hot, [F.col("k"), F.col("t")], 8).groupBy("_range").count().collect()]
+    assert len(per) == 8 and max(per) < 2 * 5000 / 8
+
+
+def test_ranks_and_quantiles_read_their_input_once(wh):
+    """The returned plan reads stored rows; the fact's source is read by the job that stores them."""
+    from reelhouse.plans.analytics import q2_churn_segments
+    from reelhouse.plans.churn import roc_auc, roc_points
+    from reelhouse.plans.eda import watch_quartiles_by_risk
+    from reelhouse.plans.windows import engagement_rank, event_keys
+    for fn in (event_keys, engagement_rank, q2_churn_segments, watch_quartiles_by_risk, roc_points, roc_auc):
+        plan = fn(wh)._jdf.queryExecution().optimizedPlan().toString()
+        reads = sum("Relation" in line and "l_orderkey" in line for line in plan.splitlines())
+        assert reads == 0, (fn.__name__, reads)
 
 
 def test_prefix_sums_match_running_window(spark):
