@@ -1,7 +1,7 @@
 """User-based collaborative filtering on the viewing fact.
 
 * binary interactions: watched = minutes (rounded to 0.1) above zero;
-* cosine similarity of binary rows, exact, by user blocks (no item self-join);
+* cosine similarity of binary rows, exact, through an inverted index with bounds (no item self-join);
 * 20 nearest neighbours per user (ties by user id), zero-similarity users
   never enter (they would add nothing to any score);
 * score of an unseen title = sum of the similarities of the neighbours who
@@ -18,7 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.neighbours import nearest_users
 from ..operators.similarity import block_similarity
+from ..operators.stored import store
 from ..operators.topk import top_k_per_key
 from .eda import interactions_binary
 from .warehouse import Warehouse
@@ -36,11 +38,8 @@ def user_similarity(wh: Warehouse) -> DataFrame:
 
 
 def neighbours(left: DataFrame, right: DataFrame | None = None, k: int = N_NEIGHBOURS) -> DataFrame:
-    cand = block_similarity(left, right, top_k=k)
-    top = top_k_per_key(cand, "user_1", [F.col("similarity").desc(), F.col("user_2")], k,
-                        rank_col="neighbour_rank")
-    return top.select(F.col("user_1").alias("user_id"), F.col("user_2").alias("neighbour_id"),
-                      "shared", "similarity", "neighbour_rank")
+    return nearest_users(left, right, k).select(
+        F.col("user_1").alias("user_id"), F.col("user_2").alias("neighbour_id"), "shared", "similarity", "neighbour_rank")
 
 
 def similar_users_topk(wh: Warehouse) -> DataFrame:
@@ -70,7 +69,7 @@ def _details(wh: Warehouse, recs: DataFrame) -> DataFrame:
 
 
 def recommend_topn(wh: Warehouse, n: int = N_RECS) -> DataFrame:
-    b = interactions_binary(wh)
+    b = store(interactions_binary(wh), "interactions")
     return _details(wh, _score(neighbours(b), b, b, n))
 
 
@@ -80,7 +79,8 @@ def first_user(wh: Warehouse) -> DataFrame:
     return m.agg(F.min("user_id").alias("user_id"))
 
 
-def recommend_one(wh: Warehouse, user_id: str | None = None, n: int = N_RECS) -> DataFrame:
+def recommend_one(wh: Warehouse, user_id: str | None = None, n: int = N_RECS,
+                  n_similar_users: int = N_NEIGHBOURS) -> DataFrame:
     """Recommendations for one user through an inverted-index join: the
     user's titles meet the rows of those titles only (linear, no all-pairs).
     An unknown user gives zero rows."""
@@ -97,7 +97,7 @@ def recommend_one(wh: Warehouse, user_id: str | None = None, n: int = N_RECS) ->
                                                 "neighbour_id")
             .withColumn("similarity", F.col("shared") / F.sqrt((F.col("n_1") * F.col("n_2")).cast("double"))))
     nb = top_k_per_key(sims, "user_id", [F.col("similarity").desc(), F.col("neighbour_id")],
-                       N_NEIGHBOURS, rank_col="neighbour_rank")
+                       n_similar_users, rank_col="neighbour_rank")
     return _details(wh, _score(nb.select("user_id", "neighbour_id", "similarity"), mine, b, n))
 
 
@@ -115,7 +115,7 @@ def rec_holdout(wh: Warehouse) -> DataFrame:
 
 def rec_hit_rate(wh: Warehouse) -> DataFrame:
     """Hit rate at 5 and 10 over every user with 5+ titles."""
-    h = rec_holdout(wh)
+    h = store(rec_holdout(wh), "holdout")
     full = h.select("user_id", "content_id")
     evalu = h.filter(F.col("n_items") >= MIN_ITEMS)
     train = evalu.filter(~F.col("is_holdout")).select("user_id", "content_id")
