@@ -21,6 +21,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,28 +35,31 @@ BROADCAST_BYTES = 64 << 20
 #: Terms of a block whose divergences a task sums, and parts that sources are dealt in.
 BLOCK_TERMS, SALTS = 1 << 14, 16
 #: Distinct terms a task counts before it passes them on.
-FLUSH = 300_000
+FLUSH = 600_000
 _TERM = re.compile(rb"[a-z\x80-\xff]+")      # the bytes of [^\x00-\x40\x5B-\x60\x7B-\x7F]+ after lower-casing
 
 
 def _held(batches):
     """Documents of each language that hold a term."""
-    seen: Counter = Counter()
+    seen: dict[str, Counter] = {}
+    size = 0
 
     def out():
-        batch = pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.binary()).cast(pa.string()),
-             pa.array(list(seen.values()), pa.int64())], names=["lang", "term", "docs"])
-        seen.clear()
-        return batch
+        for lang, held in seen.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(lang, len(held)), pa.array(list(held), pa.binary()).cast(pa.string()),
+                 pa.array(list(held.values()), pa.int64())], names=["lang", "term", "docs"])
 
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), texts(batch.column("text")), strict=True):
-            seen.update((lang, t) for t in set(_TERM.findall(text.lower())))
-            if len(seen) > FLUSH:
-                yield out()
-    if seen:
-        yield out()
+            held = seen.setdefault(lang, Counter())
+            size -= len(held)
+            held.update(set(_TERM.findall(text.lower())))
+            size += len(held)
+            if size > FLUSH:
+                yield from out()
+                seen, size = {}, 0
+    yield from out()
 
 
 def _build(batches):
@@ -134,10 +138,10 @@ def _recount(shared):
                     found = sorted(held)
                     at = _look_up(made[lang], found)
                     n = np.fromiter((held[t] for t in found), np.int64, len(found))
+                    at, n = at[at >= 0], n[at >= 0]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * int((at >= 0).sum()), pa.string()),
-                         pa.array([source] * int((at >= 0).sum()), pa.string()), pa.array(at[at >= 0]),
-                         pa.array(n[at >= 0])], names=["lang", "source", "ord", "n"])
+                        [pa.repeat(lang, len(at)), pa.repeat(source, len(at)), pa.array(at), pa.array(n)],
+                        names=["lang", "source", "ord", "n"])
 
         yield from _streamed(batches, done)
     return run
@@ -151,7 +155,7 @@ def _dealt(firsts):
                     found = list(held)
                     shard = [max(bisect_right(firsts.value[lang], t) - 1, 0) for t in found]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(found)), pa.array([source] * len(found)),
+                        [pa.repeat(lang, len(found)), pa.repeat(source, len(found)),
                          pa.array(found, pa.binary()), pa.array(shard, pa.int32()), pa.array(list(held.values()), pa.int64())],
                         names=["lang", "source", "term", "shard", "n"])
 
@@ -225,13 +229,10 @@ def _pairs(block: pa.Table, profile: pa.Table) -> pa.Table:
     s = len(none)
     total = np.zeros((s, s), np.int64)
     base = _f(none[:, None], none[None])
-    counts, at, p = [], [], []
-    for col in block.column("held").to_pylist():
-        counts.append(len(col))
-        for x in col:
-            at.append(x["at"])
-            p.append(x["p"])
-    counts, at, p = np.array(counts, np.int64), np.array(at, np.int64), np.array(p, np.int64)
+    held = pa.concat_arrays(block.column("held").chunks or [pa.array([], block.schema.field("held").type)])
+    counts = pc.list_value_length(held).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = held.flatten()
+    at, p = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
     start = np.cumsum(counts) - counts
     # one side has the term: equal (source, p) are computed once
     both, times = np.unique(np.stack([at, p], 1).reshape(-1, 2), axis=0, return_counts=True)
