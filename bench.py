@@ -24,6 +24,7 @@ HEADLINE = [
     "q1_dau_rolling", "q2_churn_segments", "q3_completion_by_genre", "q4_ltv_by_plan",
     "q5_period_device_crosstab", "q6_cohort_retention", "q7_original_roi",
     "sessions", "similar_users_topk", "recommend_topn",
+    "watch_quartiles_by_risk", "roc_auc", "event_keys", "dau_forecast",
 ]
 
 

@@ -60,7 +60,7 @@ def _active_subs(wh: Warehouse) -> DataFrame:
 # analysis queries and checks
 for _name in ["q1_dau_rolling", "q2_churn_segments", "q3_completion_by_genre", "q4_ltv_by_plan",
               "q5_period_device_crosstab", "q6_cohort_retention", "q7_original_roi", "q7_dense_rank",
-              "events_by_period", "subs_by_plan_status", "session_depth", "users_by_risk",
+              "events_by_period", "events_by_calendar", "subs_by_plan_status", "session_depth", "users_by_risk",
               "roi_by_budget_band", "titles_by_inactivity"]:
     _simple(_name, getattr(A, _name))
 
