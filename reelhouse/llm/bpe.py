@@ -19,6 +19,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import regex
+from tokenizers import Tokenizer
 
 #: Runs kept with their ids in a worker, and the longest run kept.
 CACHE_WORDS, CACHE_CHARS = 400_000, 48
@@ -33,6 +34,31 @@ _SPACE = regex.compile(r"\p{White_Space}")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
+def _unsure() -> re.Pattern:
+    """Characters on which Unicode versions may part: those that this Python
+    does not know, and those younger than Unicode 3.2 that combine (a combining
+    class, a canonical decomposition, or a part of one). The library, whose
+    tables are of other versions, is asked about the text around them. Beyond
+    the first plane it is always asked: one range makes the search quicker."""
+    unsure = np.zeros(0x110000, bool)
+    unsure[0x10000:] = True
+    for c in range(0x10000):
+        x = chr(c)
+        if unicodedata.category(x) == "Cn":
+            unsure[c] = True
+        elif unicodedata.ucd_3_2_0.category(x) == "Cn":
+            parts = unicodedata.decomposition(x)
+            if unicodedata.combining(x):
+                unsure[c] = True
+            elif parts and not parts.startswith("<"):
+                unsure[[c, *[int(p, 16) for p in parts.split() if int(p, 16) > 0x3FF]]] = True
+    edges = np.flatnonzero(np.diff(unsure, prepend=False, append=False))
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edges.reshape(-1, 2).tolist()) + "]")
+
+
+_UNSURE = _unsure()
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in byte-level vocabularies:
     printable Latin-1 bytes stand for themselves, others for 256, 257, ..."""
@@ -53,6 +79,7 @@ class MergeTable:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.library = Tokenizer.from_file(path)
         model = spec["model"]
         self.end = model.get("end_of_word_suffix") or ""
         vocab = model["vocab"]
@@ -61,6 +88,7 @@ class MergeTable:
             a, b = m if isinstance(m, list) else m.split(" ")
             self.pair[vocab[a], vocab[b]] = (rank, vocab[a + b])
         letters = byte_letters()
+        self.byte_of = {c: b for b, c in enumerate(letters)}
         self.byte_id = [vocab[x] for x in letters]
         self.last_id = [vocab[x + self.end] for x in letters]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -73,6 +101,14 @@ class MergeTable:
         self.lookahead = self._lookahead()
         self._arrays()
 
+    def pre_tokens(self, run: str) -> list[str]:
+        """Pre-tokens of a run without white space; the library says them where
+        the run has a character on which Unicode versions may part."""
+        if run.isascii() or not _UNSURE.search(run):
+            return self.split.findall(run)
+        return [bytes(self.byte_of[c] for c in letters).decode()
+                for letters, _ in self.library.pre_tokenizer.pre_tokenize_str(run)]
+
     def size(self, token: int) -> int:
         s = self.token[token]
         return len(s) - len(self.end) if self.end and s.endswith(self.end) and s != self.end else len(s)
@@ -212,10 +248,10 @@ class StreamEncoder:
     def learn(self, runs: set[str]) -> dict[str, bytes]:
         """Ids of runs without white space: pre-tokens of up to a window are
         merged together, longer ones go through ``symbols`` one by one."""
-        split, parts = self.table.split, {}
+        parts = {}
         todo: dict[str, bytes] = {}
         for run in runs:
-            parts[run] = got = split.findall(run)
+            parts[run] = got = self.table.pre_tokens(run)
             for p in got:
                 todo[p] = b""
         short = [p for p in todo if len(p) <= CACHE_CHARS]
@@ -245,9 +281,10 @@ class StreamEncoder:
         self.known.update((r, x) for r, x in fresh.items() if len(r) <= CACHE_CHARS)
         return out
 
-    @staticmethod
-    def _runs(text: str) -> list[str]:
+    def _runs(self, text: str) -> list[str]:
         if not text.isascii():
+            if _UNSURE.search(text):
+                return [r for r in self.table.library.normalizer.normalize_str(text).split(" ") if r]
             # lower-casing works on single characters: no final sigma
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
@@ -310,7 +347,7 @@ class StreamDecoder:
         self.form, self.token = form, table.token
         self.started = False
         if form == "text":
-            byte_of = {c: b for b, c in enumerate(byte_letters())}
+            byte_of = table.byte_of
             special = set(table.special.values())
             end = table.end
             self.bytes = []

@@ -1,6 +1,6 @@
 """Token counts by overlap resynchronisation.
 
-A huge document is encoded by the library in overlapping chunks with offsets.
+A text of more than one chunk is encoded by the library in overlapping chunks with offsets.
 Two neighbours are spliced where both have a token that starts at the same
 place after one that ends at the same place, at least the merge list's
 sufficient lookahead before the left chunk's end:
@@ -25,8 +25,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from reelhouse.llm.bpe import load, take, tokenizer_path
 
-#: Characters of a chunk, of the first overlap, and of a document that is cut.
-CHUNK, OVERLAP, HUGE = 16_384, 2_048, 65_536
+#: Characters of a chunk and of the first overlap. Longer texts are cut.
+CHUNK, OVERLAP = 16_384, 2_048
 _loaded: dict[str, "TokenCounter"] = {}
 
 
@@ -41,8 +41,8 @@ class TokenCounter:
 
     def count(self, texts: list[str]) -> list[int]:
         """Token counts of texts."""
-        small = iter(self.encoder.encode([t for t in texts if len(t) <= HUGE]))
-        return [len(next(small)) >> 2 if len(t) <= HUGE else self.count_huge(t) for t in texts]
+        small = iter(self.encoder.encode([t for t in texts if len(t) <= CHUNK]))
+        return [len(next(small)) >> 2 if len(t) <= CHUNK else self.count_huge(t) for t in texts]
 
     def _encode(self, text: str, start: int, stop: int) -> list[tuple[int, int]]:
         """(end of the token before, start) of each token in a chunk."""
