@@ -60,18 +60,20 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
     """id, ``keep_id``, ``group_size``, ``kept`` and ``text_sha256`` of every
     row. Texts are equal when identical after lower-casing A-Z; null counts as
     empty. Of equal texts that the index does not have yet, the largest id
-    stays; those that it has are all dropped in favour of the id it names, with
-    the group size it recorded.
+    stays; those that it has are dropped in favour of the id it names, with the
+    group size it recorded. The row of that very id stays, so a batch given
+    again, as after a lost driver, gets the answers it got the first time.
 
     Null ids lose against all others; a group of null ids only has a null
-    ``keep_id`` and keeps all its rows. Rows that repeat an id count one by one
+    ``keep_id`` and keeps all its rows (in later batches too: they cannot be
+    told from a repeated batch). Rows that repeat an id count one by one
     and are all kept if that id is the largest. An empty table gives an empty
     table. Other columns are not read."""
     index = index or DigestIndex(docs.sparkSession)
     rows = materialize(docs.select(F.col(id_col).cast("long").alias("id"), text_digest(text_col).alias("digest")),
                        "row-digests")
-    added = index.append(rows).select("digest", F.lit(True).alias("is_new"))
-    known = index.table().alias("i").join(added.hint("merge"), "digest", "left")
+    index.append(rows)
+    known = index.table()
     total = rows.count()
     # Heavy groups are joined by broadcast (HEAVY rows at most), so that no task gets all rows of one text.
     heavy = F.broadcast(known.where(F.col("group_size") * HEAVY >= total))
@@ -80,5 +82,5 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
                       "left_anti")
     out = rows.join(heavy, "digest").unionByName(marks.join(light.hint("merge"), "digest"))
     return out.select(F.col("id").alias(id_col), "keep_id", "group_size",
-                      (F.coalesce("is_new", F.lit(False)) & F.col("id").eqNullSafe(F.col("keep_id"))).alias("kept"),
+                      F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
                       F.col("digest").alias("text_sha256"))

@@ -205,6 +205,10 @@ def test_exact_dedup_goes_on_with_an_index(spark):
     got = {(r.doc_id, r.keep_id, r.kept) for r in exact_dedup(second, index).collect()}
     assert got == {(9, 2, False), (10, 11, False), (11, 11, True)}
     assert index.table().count() == 3
+    # both batches again: the same answers, nothing added
+    assert {(r.doc_id, r.kept) for r in exact_dedup(first, index).collect()} == {(1, False), (2, True), (3, True)}
+    assert {(r.doc_id, r.keep_id, r.kept) for r in exact_dedup(second, index).collect()} == got
+    assert index.table().count() == 3
 
 
 def test_lattice_against_all_segmentations():
