@@ -190,11 +190,64 @@ def test_similarity_slices_items(spark, monkeypatch):
     assert np.array_equal(similarity._shared_items(left, right), [[2, 1], [0, 1], [0, 0]])
 
 
-def test_short_series_keep_a_row():
-    import pandas as pd
+def _daily(spark, rows):
+    return spark.createDataFrame(rows, "series string, full_date date, dau double")
+
+
+def test_short_series_keep_a_row(spark):
+    import datetime as dt
+    from reelhouse.plans import forecast
+    day = dt.date(2024, 1, 1)
+    rows = [("s", day + dt.timedelta(i), 1.0) for i in range(12)]
+    rows += [("flat", day + dt.timedelta(i), 5.0) for i in range(120)]        # no movement: nothing to fit
+    forecasts, fits = forecast.forecast_series(_daily(spark, rows))
+    out = forecasts.toPandas()
+    short = out[out["series"] == "s"]
+    assert len(short) == 12 and short["forecast"].isna().all() and short["actual"].eq(1).all()
+    fit = {r["series"]: r for r in fits.collect()}
+    assert fit["s"]["n_train"] == 0 and fit["s"]["aic"] is None
+    assert fit["flat"]["n_train"] == 90 and fit["flat"]["ar1"] is None and fit["flat"]["mae"] is None
+    assert len(out) == 42 and forecast.forecast_series(_daily(spark, []))[1].count() == 0
+
+
+def test_forecast_against_least_squares(spark):
+    """Coefficients, forecasts and interval against dense least squares and a
+    plain loop, on a series simulated with weekly pattern and noise."""
+    import datetime as dt
+    import numpy as np
     from reelhouse.plans import forecast
-    pdf = pd.DataFrame({"series": "s", "full_date": pd.date_range("2024-01-01", periods=12).date, "dau": 1.0})
-    out = forecast._series_forecast(pdf)
-    assert len(out) == 12 and out["forecast"].isna().all() and out["actual"].eq(1).all()
-    fit = forecast._series_fit(pdf)
-    assert len(fit) == 1 and fit["n_train"].iloc[0] == 0 and fit["aic"].isna().all()
+    rand = np.random.default_rng(7)
+    e, d, y = rand.normal(0, 20, 400), np.zeros(400), np.zeros(400)
+    for t in range(400):
+        d[t] = e[t] + (0.5 * d[t - 1] + 0.3 * e[t - 1] if t else 0) + (-0.4 * e[t - 7] if t >= 7 else 0)
+        y[t] = round(d[t] + (y[t - 7] if t >= 7 else 1000))
+    day = dt.date(2024, 1, 1)
+    rows = [("s", day + dt.timedelta(i), float(v)) for i, v in enumerate(y)]
+    forecasts, fits = forecast.forecast_series(_daily(spark, rows))
+
+    train, test = y[:-30], y[-30:]
+    w = train[7:] - train[:-7]
+    def design(parts, start):
+        return np.column_stack([x[start - lag:len(x) - lag] for x, lag in parts])
+    first = design([(w, lag) for lag in forecast.LONG_LAGS], 14)
+    c = np.linalg.lstsq(first, w[14:], rcond=None)[0]
+    err = np.concatenate([np.full(14, np.nan), w[14:] - first @ c])
+    second = design([(w, 1), (w, 7), (err, 1), (err, 7)], 21)
+    k, *_ = np.linalg.lstsq(second, w[21:], rcond=None)
+    rss, n = float(((w[21:] - second @ k) ** 2).sum()), len(w) - 21
+    got = fits.first()
+    assert np.allclose([got[x] for x in forecast.COEFFICIENTS], k, atol=1e-5)
+    assert abs(got["ar1"] - 0.5) < 0.2 and abs(got["ma7"] + 0.4) < 0.2
+    assert np.isclose(got["aic"], n * np.log(rss / n) + 8, atol=1e-3)
+
+    hist, diffs, errs, echo, psi, want = list(train), list(w), [*err, *[0.0] * 30], [0.0] * 7, [0.0] * 7, []
+    for h in range(30):
+        diffs.append(k @ [diffs[-1], diffs[-7], errs[len(w) + h - 1], errs[len(w) + h - 7]])
+        hist.append(diffs[-1] + hist[-7])
+        echo.append(k[0] * echo[-1] + k[1] * echo[-7] + {0: 1.0, 1: k[2], 7: k[3]}.get(h, 0.0))
+        psi.append(echo[-1] + psi[-7])
+        half = forecast.Z95 * np.sqrt(rss / (n - 4) * np.sum(np.square(psi)))
+        want.append((hist[-1], hist[-1] - half, hist[-1] + half))
+    out = forecasts.orderBy("full_date").toPandas()
+    assert out["actual"].tolist() == test.tolist()
+    assert np.allclose(out[["forecast", "lower", "upper"]], want, atol=1e-3)
