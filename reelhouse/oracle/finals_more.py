@@ -4,7 +4,7 @@ from __future__ import annotations
 from ..plans.eda import CORR_FEATURES, RISKS
 from ..plans.quality import DOMAINS, FOREIGN_KEYS, UNIQUE_KEYS
 from ..sources.schemas import MAX_LENGTHS, RAW_SCHEMAS
-from .helpers import in_list
+from .helpers import in_list, same_text
 from .sql import final, step
 
 _WU = "(PARTITION BY user_id ORDER BY event_timestamp, event_id)"
@@ -73,7 +73,7 @@ _RAW = ("raw_users", "raw_subscriptions", "raw_content", "raw_viewing_events")
 final("dq_duplicates", _RAW, "\nUNION ALL\n".join(f"""
 SELECT '{t}' AS table_name, '{c}' AS key_column, count(*) AS duplicate_keys,
        CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows
-FROM (SELECT {c}, count(*) AS n FROM {t} GROUP BY {c} HAVING count(*) > 1) d""" for t, c in UNIQUE_KEYS))
+FROM (SELECT count(*) AS n FROM {t} GROUP BY {same_text(c) if c == 'email' else c} HAVING count(*) > 1) d""" for t, c in UNIQUE_KEYS))
 
 final("dq_orphans", _RAW, "\nUNION ALL\n".join(f"""
 SELECT '{ch}' AS child_table, '{cc}' AS child_column, '{p}' AS parent_table, count(*) AS orphan_rows
@@ -84,6 +84,14 @@ SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS rows_before,
        (SELECT count(*) FROM {t} x WHERE x.user_id NOT IN (SELECT user_id FROM raw_users WHERE country IS NULL))
            AS rows_after""" for t in ("raw_users", "raw_subscriptions", "raw_viewing_events")))
 
+for _table, _columns in (
+        ("users", "user_id, email, username, country, signup_date, CAST(birth_year AS BIGINT) AS birth_year"),
+        ("subscriptions", "* REPLACE (CAST(monthly_price AS DOUBLE) AS monthly_price)"),
+        ("viewing_events", "* REPLACE (CAST(watch_duration_sec AS BIGINT) AS watch_duration_sec)")):
+    final(f"{_table}_after_delete", ("raw_users", f"raw_{_table}"), f"""
+SELECT {_columns} FROM raw_{_table} x
+WHERE NOT EXISTS (SELECT 1 FROM raw_users u WHERE u.country IS NULL AND u.user_id = x.user_id)""")
+
 final("dq_nulls", _RAW, "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, count(*) FILTER (WHERE {f.name} IS NULL) AS null_rows, "
     f"{str(not f.nullable).upper()} AS required FROM {t}"
@@ -95,10 +103,10 @@ _len = [f"SELECT '{t}', '{c}', 'length<={n}', count(*) FILTER (WHERE length({c})
         for t, widths in MAX_LENGTHS.items() for c, n in widths.items()]
 final("dq_domains", _RAW, "\nUNION ALL\n".join(_dom + _len))
 
-final("dq_dirty_users", ("raw_users",), """
+final("dq_dirty_users", ("raw_users",), f"""
 SELECT 'duplicate_email' AS issue, CAST(NULL AS VARCHAR) AS value,
        CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS rows
-FROM (SELECT email, count(*) AS n FROM raw_users GROUP BY email HAVING count(*) > 1) d
+FROM (SELECT count(*) AS n FROM raw_users GROUP BY {same_text("email")} HAVING count(*) > 1) d
 UNION ALL
 SELECT 'invalid_birth_year', CAST(birth_year AS VARCHAR), count(*)
 FROM raw_users WHERE NOT coalesce(birth_year BETWEEN 1930 AND 2010, FALSE) GROUP BY birth_year""")

@@ -35,6 +35,11 @@ def pct(part: str, whole: str, digits: int) -> str:
     return f"ROUND({rdiv(f'({part}) * 100', whole, 5)}, {digits})"
 
 
+def same_text(col: str) -> str:
+    """A text without what the warehouse's comparisons ignore."""
+    return f"lower(strip_accents(rtrim({col}, ' ')))"
+
+
 def dbl(expr: str) -> str:
     return f"CAST(({expr}) AS DOUBLE)"
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import same_text
+from ..operators.cascade import cascade
 from ..sources.schemas import (CONTENT_TYPES, DEVICE_TYPES, EVENT_TYPES, MAX_LENGTHS, PLAN_TYPES,
                                RAW_SCHEMAS, SUB_STATUSES)
 from .warehouse import Warehouse
@@ -32,7 +34,8 @@ def dq_duplicates(wh: Warehouse) -> DataFrame:
     raw = _raw(wh)
     out = []
     for table, col in UNIQUE_KEYS:
-        c = raw[table].groupBy(col).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+        key = same_text(col) if col == "email" else col
+        c = raw[table].groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
         out.append(c.agg(F.count(F.lit(1)).alias("duplicate_keys"),
                          F.coalesce(F.sum("n"), F.lit(0)).alias("duplicate_rows"))
                    .select(F.lit(table).alias("table_name"), F.lit(col).alias("key_column"),
@@ -58,19 +61,31 @@ def dq_orphans(wh: Warehouse) -> DataFrame:
     return _union(out)
 
 
+def after_delete(wh: Warehouse) -> dict[str, DataFrame]:
+    """The raw tables without the users that have no country and without all
+    rows that refer to them."""
+    return cascade(_raw(wh), FOREIGN_KEYS, {"raw_users": F.col("country").isNull()})
+
+
+def users_after_delete(wh: Warehouse) -> DataFrame:
+    return after_delete(wh)["raw_users"]
+
+
+def subscriptions_after_delete(wh: Warehouse) -> DataFrame:
+    return after_delete(wh)["raw_subscriptions"]
+
+
+def viewing_events_after_delete(wh: Warehouse) -> DataFrame:
+    return after_delete(wh)["raw_viewing_events"]
+
+
 def cascade_delete(wh: Warehouse) -> DataFrame:
     """Delete users without a country and cascade to their subscriptions and
     events; report rows before and after per table."""
-    raw = _raw(wh)
-    gone = raw["raw_users"].filter(F.col("country").isNull()).select("user_id")
-    after = {
-        "raw_users": raw["raw_users"].join(gone, "user_id", "left_anti"),
-        "raw_subscriptions": raw["raw_subscriptions"].join(gone, "user_id", "left_anti"),
-        "raw_viewing_events": raw["raw_viewing_events"].join(gone, "user_id", "left_anti"),
-    }
+    raw, after = _raw(wh), after_delete(wh)
     out = []
-    for t, df in after.items():
-        after_n = df.agg(F.count(F.lit(1))).scalar()
+    for t in ("raw_users", "raw_subscriptions", "raw_viewing_events"):
+        after_n = after[t].agg(F.count(F.lit(1))).scalar()
         out.append(raw[t].agg(F.count(F.lit(1)).alias("rows_before")).select(
             F.lit(t).alias("table_name"), "rows_before", after_n.alias("rows_after")))
     return _union(out)
@@ -116,7 +131,7 @@ def dq_dirty_users(wh: Warehouse) -> DataFrame:
     """Dirty-row profile of raw users: duplicate e-mail rows and each
     invalid birth year (outside 1930..2010, NULL included)."""
     u = wh.raw.users
-    dup = u.groupBy("email").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1) \
+    dup = u.groupBy(same_text("email")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1) \
         .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("rows")) \
         .select(F.lit("duplicate_email").alias("issue"), F.lit(None).cast("string").alias("value"), "rows")
     bad = u.filter(~F.coalesce(F.col("birth_year").between(1930, 2010), F.lit(False))) \

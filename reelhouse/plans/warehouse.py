@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import (date_key, day_name, dec, month_name, mysql_avg, mysql_div,
-                         mysql_week_monday, ym_label)
+                         mysql_week_monday, same_text, ym_label)
 from ..operators.overlap import active_by_month
 from ..operators.rank import global_rank
 from ..sources.adapters import RawTables, raw_tables
@@ -133,11 +133,12 @@ class Warehouse:
 
     @cached_property
     def deduplicated_users(self) -> DataFrame:
-        """One row per e-mail: the earliest signup (ties: smallest user_id)."""
+        """One row per e-mail, compared without case, accents and trailing
+        spaces: the earliest signup (ties: smallest user_id), in its spelling."""
         u = self.raw.users
-        first = F.min(F.struct("signup_date", "user_id", "username", "country", "birth_year"))
-        return u.groupBy("email").agg(first.alias("f")).select(
-            "f.user_id", "email", "f.username", "f.country", "f.signup_date", "f.birth_year")
+        first = F.min(F.struct("signup_date", "user_id", "username", "country", "birth_year", "email"))
+        return u.groupBy(same_text("email")).agg(first.alias("f")).select(
+            "f.user_id", "f.email", "f.username", "f.country", "f.signup_date", "f.birth_year")
 
     @cached_property
     def latest_subscriptions(self) -> DataFrame:

@@ -73,7 +73,8 @@ for _name in ["event_gap_lag", "sessions", "session_summary", "running_net_subs"
               "event_keys", "engagement_rank"]:
     _simple(_name, getattr(WIN, _name))
 _simple("events_sessions", lambda wh: WIN.events_sessions(wh.spark, wh.sf_dir))
-for _name in ["dq_duplicates", "dq_orphans", "cascade_delete", "dq_nulls", "dq_domains",
+for _name in ["dq_duplicates", "dq_orphans", "cascade_delete", "users_after_delete",
+              "subscriptions_after_delete", "viewing_events_after_delete", "dq_nulls", "dq_domains",
               "dq_dirty_users", "layer_row_counts"]:
     _simple(_name, getattr(DQ, _name))
 for _name in ["sql_to_frame", "value_counts", "catalog_genre_share", "watch_quartiles_by_risk",
