@@ -44,46 +44,51 @@ class TokenCounter:
         small = iter(self.encoder.encode([t for t in texts if len(t) <= CHUNK]))
         return [len(next(small)) >> 2 if len(t) <= CHUNK else self.count_huge(t) for t in texts]
 
-    def _encode(self, text: str, start: int, stop: int) -> list[tuple[int, int]]:
-        """(end of the token before, start) of each token in a chunk."""
-        spans, before = [], -1
-        for s, e in self.library.encode(text[start:stop], add_special_tokens=False).offsets:
-            spans.append((before, start + s))
-            before = start + e
-        return spans
-
     def count_huge(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
         """Tokens of a text encoded in overlapping chunks."""
         overlap = max(overlap, 2 * self.lookahead)
         chunk = max(chunk, 2 * overlap)
+        encode = self.library.encode
         n, stop = len(text), min(len(text), chunk)
-        left, done = self._encode(text, 0, stop), 0
-        floor = 0                               # where the tokens in ``left`` begin to count
+        left, at, first, done = encode(text[:stop], add_special_tokens=False), 0, 0, 0
+        floor = 0                               # where the token ``first`` of the left chunk begins
         while stop < n:
             more, wide = min(n, stop + chunk - overlap), overlap
             while True:
                 start = max(floor, stop - wide)
-                right = self._encode(text, start, more)
-                place = self._splice(left, right, stop)
+                right = encode(text[start:more], add_special_tokens=False)
+                place = self._splice(left, at, right, start, stop)
                 if place is not None or start == floor:
                     break
                 wide *= 2
             if place is None:                   # from a true boundary on there is nothing to align
-                left = right
+                first = 0
             else:
-                done += sum(1 for _, s in left if floor <= s < place)
-                floor = place
-                left = [x for x in right if x[1] >= place]
-            stop = more
-        return done + sum(1 for _, s in left if s >= floor)
-
-    def _splice(self, left: list[tuple[int, int]], right: list[tuple[int, int]], stop: int) -> int | None:
-        """The last stable place that both chunks have."""
-        have = set(left)
-        for before, s in reversed(right):
-            if s + self.lookahead <= stop and before >= 0 and (before, s) in have:
-                return s
-        return None
+                ended, begun, floor = place
+                done += ended - first
+                first = begun
+            left, at, stop = right, start, more
+        return done + len(left) - first
+
+    def _splice(self, left, at: int, right, start: int, stop: int) -> tuple[int, int, int] | None:
+        """The last stable boundary that both chunks have: the index of the
+        token after it in either one, and its place. Only tokens of the overlap
+        are looked at; a token that begins inside a character is no boundary."""
+        have, i, (s, _) = {}, len(left) - 1, left.token_to_chars(len(left) - 1) if len(left) else (0, 0)
+        while i > 0 and at + s >= start:
+            before = left.token_to_chars(i - 1)
+            if before[1] <= s:
+                have[at + before[1], at + s] = i
+            i, s = i - 1, before[0]
+        found, end = None, -1
+        for j in range(len(right)):
+            s, e = right.token_to_chars(j)
+            if start + s + self.lookahead > stop:
+                break
+            if 0 <= end <= s and (start + end, start + s) in have:
+                found = have[start + end, start + s], j, start + s
+            end = e
+        return found
 
 
 def _counter(path: str) -> TokenCounter:
