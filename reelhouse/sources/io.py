@@ -100,6 +100,7 @@ def build_warehouse(wh, out_dir: str) -> dict[str, str]:
                w2.fact_viewing_events.withColumn("ym", F.date_format("event_timestamp", "yyyy-MM")), "ym")
     w2.__dict__["fact_viewing_events"] = fact.drop("ym")
     w2.__dict__["fve"] = fact.drop("ym", "session_order").withColumn("event_date", F.to_date("event_timestamp"))
+    w2.__dict__["events"] = w2.__dict__["fve"]
     for name in ("mart_user_engagement", "mart_content_performance", "mart_subscription_metrics"):
         put(name, getattr(w2, name))
     return paths
