@@ -32,6 +32,8 @@ EPOCHS, BATCH, RATE, DECAY, SEED = 40, 256, 2e-3, 1e-4, 7
 #: Rows of the sample that fit the temperature only.
 CALIBRATION = 0.15
 THRESHOLD = 0.3
+#: Vectors of ``DIM`` values gathered at once: a few MB, however many different tokens a run of texts has.
+GATHER = BINS
 
 _KINDS = 24
 
@@ -113,11 +115,13 @@ def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
             row, b = key // BINS, key % BINS
             total = np.bincount(row, count, n)
             starts = np.flatnonzero(np.diff(row, prepend=-1))
-            for at in range(0, len(starts), 64):      # some rows at a time
-                ends = starts[at + 64] if at + 64 < len(starts) else len(key)
-                part = slice(starts[at], ends)
-                out[lo + row[starts[at:at + 64]], :DIM] = np.add.reduceat(
-                    vectors[b[part]] * count[part, None].astype(np.float32), starts[at:at + 64] - starts[at])
+            ends, at = np.append(starts[1:], len(key)), 0
+            while at < len(starts):      # some rows at a time; a row has at most BINS keys
+                to = max(at + 1, int(np.searchsorted(ends, starts[at] + GATHER, "right")))
+                part = slice(starts[at], ends[to - 1])
+                out[lo + row[starts[at:to]], :DIM] = np.add.reduceat(
+                    vectors[b[part]] * count[part, None].astype(np.float32), starts[at:to] - starts[at])
+                at = to
             out[lo:lo + n, :DIM] /= np.maximum(total, 1)[:, None]
             distinct = np.bincount(row, minlength=n)
             out[lo:lo + n, DIM + _KINDS] = np.log1p(total)
@@ -138,7 +142,9 @@ def _neighbours(batches):
                 ok = np.flatnonzero(rows[step:] == rows[:-step])
                 for x, y in ((bins[ok], bins[ok + step]), (bins[ok + step], bins[ok])):
                     key, n = np.unique(x * BINS + y, return_counts=True)
-                    np.add.at(total, key // BINS, index[key % BINS] * n[:, None].astype(np.float32))
+                    for at in range(0, len(key), GATHER):
+                        part = slice(at, at + GATHER)
+                        np.add.at(total, key[part] // BINS, index[key[part] % BINS] * n[part, None].astype(np.float32))
                     np.add.at(count, key // BINS, n)
     used = np.flatnonzero(count)
     for at in range(0, len(used), 1024):
