@@ -5,7 +5,9 @@
 2. The kept terms, sorted, are cut into ranges of about ``SHARD_TERMS``; a task
    builds the transducer of a range, which turns a term into its lexicographic
    ordinal in the language.
-3. The texts are streamed through the transducers and recounted by ordinal.
+3. The texts are streamed through the transducers and recounted by ordinal;
+   a task passes its counts on as arrays, one for each source and range of
+   ordinals, which are added up range by range.
    Transducers of up to ``BROADCAST_BYTES`` in all are sent to the tasks that
    read the texts; larger ones stay where they are, and the texts' term counts
    are dealt to them by range.
@@ -15,7 +17,6 @@
 """
 from __future__ import annotations
 
-import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 
@@ -36,7 +37,15 @@ BROADCAST_BYTES = 64 << 20
 BLOCK_TERMS, SALTS = 1 << 14, 16
 #: Distinct terms a task counts before it passes them on.
 FLUSH = 600_000
-_TERM = re.compile(rb"[a-z\x80-\xff]+")      # the bytes of [^\x00-\x40\x5B-\x60\x7B-\x7F]+ after lower-casing
+#: Ordinals of an array of counts.
+COUNT_ORDS = 1 << 11
+#: Lowers A-Z and blanks the ASCII bytes that are no letters: what is left between blanks is the terms.
+_LETTERS = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in bytes(range(256)).lower())
+
+
+def _terms(text: bytes) -> list[bytes]:
+    """The matches of [^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+ with A-Z lowered."""
+    return text.translate(_LETTERS).split()
 
 
 def _held(batches):
@@ -54,7 +63,7 @@ def _held(batches):
         for lang, text in zip(batch.column("lang").to_pylist(), texts(batch.column("text")), strict=True):
             held = seen.setdefault(lang, Counter())
             size -= len(held)
-            held.update(set(_TERM.findall(text.lower())))
+            held.update(set(_terms(text)))
             size += len(held)
             if size > FLUSH:
                 yield from out()
@@ -119,7 +128,7 @@ def _streamed(batches, done):
                                       texts(batch.column("text")), strict=True):
             held = seen.setdefault((lang, source), Counter())
             size -= len(held)
-            held.update(_TERM.findall(text.lower()))
+            held.update(_terms(text))
             size += len(held)
             if size > FLUSH:
                 yield from done(seen)
@@ -138,15 +147,44 @@ def _recount(shared):
                     found = sorted(held)
                     at = _look_up(made[lang], found)
                     n = np.fromiter((held[t] for t in found), np.int64, len(found))
-                    at, n = at[at >= 0], n[at >= 0]
+                    at, n = at[at >= 0], n[at >= 0]          # in ascending order, as the terms are
+                    span, first = np.unique(at // COUNT_ORDS, return_index=True)
+                    ends = pa.array(np.append(first, len(at)).astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(lang, len(at)), pa.repeat(source, len(at)), pa.array(at), pa.array(n)],
-                        names=["lang", "source", "ord", "n"])
+                        [pa.repeat(lang, len(span)), pa.repeat(source, len(span)), pa.array(span),
+                         pa.ListArray.from_arrays(ends, pa.array((at % COUNT_ORDS).astype(np.int32))),
+                         pa.ListArray.from_arrays(ends, pa.array(n))], names=["lang", "source", "span", "ords", "n"])
 
         yield from _streamed(batches, done)
     return run
 
 
+def _added(batches):
+    """Counts by ordinal from arrays sorted by language, source and range; only the sums of one range are held."""
+    last, total = None, np.zeros(COUNT_ORDS, np.int64)
+
+    def out():
+        at = np.flatnonzero(total)
+        return pa.RecordBatch.from_arrays(
+            [pa.repeat(last[0], len(at)), pa.repeat(last[1], len(at)), pa.array(at + last[2] * COUNT_ORDS), pa.array(total[at])],
+            names=["lang", "source", "ord", "n"])
+
+    for batch in batches:
+        ords = batch.column("ords")
+        cut = np.concatenate([[0], np.cumsum(pc.list_value_length(ords).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        at, uses = ords.flatten().to_numpy(), batch.column("n").flatten().to_numpy()
+        keys = zip(*(batch.column(k).to_pylist() for k in ("lang", "source", "span")), strict=True)
+        for key, a, b in zip(keys, cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            if key != last:
+                if last is not None:
+                    yield out()
+                last = key
+                total[:] = 0
+            total[at[a:b]] += uses[a:b]          # an ordinal is in an array once
+    if last is not None:
+        yield out()
+
+
 def _dealt(firsts):
     def run(batches):
         def done(seen):
@@ -180,7 +218,10 @@ def recount(docs: DataFrame, words: DataFrame) -> DataFrame:
         for r in words.select("lang", "first", "base", "states").orderBy("lang", "first").collect():
             made.setdefault(r["lang"], []).append((bytes(r["first"]), r["base"], bytes(r["states"])))
         parts = rows.mapInArrow(_recount(docs.sparkSession.sparkContext.broadcast(made)),
-                                "lang string, source string, ord long, n long")
+                                "lang string, source string, span long, ords array<int>, n array<long>")
+        place = ["lang", "source", "span"]
+        return parts.repartition(*place).sortWithinPartitions(*place).mapInArrow(
+            _added, "lang string, source string, ord long, n long")
     else:
         # one first term a shard: one for SHARD_TERMS terms
         firsts: dict = {}
