@@ -9,12 +9,16 @@ full sets with the smallest member first; links are joined by union-find. The
 members of buckets that still hold several groups are paired by an exact rule
 (their rarest shingles must have one in common), verified and joined too, so
 that no link between members of buckets is lost. Pairs of one group, of too
-different size, or with too little left after their first common shingle are
-never listed; a shingle with more than ``OPEN`` members takes the next smallest
-member as centre, round by round.
+different size, with too little left after their first common shingle, or whose
+bitmaps differ too much are never listed. A shingle with more than ``OPEN``
+members takes its smallest member as centre first; what then still is in
+several groups is paired once, in pieces of ``OPEN`` members of similar size, so
+that the number of rounds does not grow with the members.
 """
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -28,8 +32,10 @@ from reelhouse.llm.words import shingles, word_hashes
 #: 40 bands of 5 slots: a pair of similarity 0.8 shares no bucket with probability (1 - 0.8^5)^40 = 1.3e-7.
 BANDS, ROWS = 40, 5
 SLOTS = BANDS * ROWS
-#: Members of a shingle up to which their pairs are tested at once; beyond, one centre a round.
+#: Members of a shingle up to which their pairs are tested at once; beyond, in pieces of so many.
 OPEN = 4096
+#: 64-bit words of the bitmap of a set.
+WORDS = 4
 #: Shingles whose counts are sent to the tasks at most (16 bytes each).
 COMMON = 1 << 19
 #: Rows of the id list that may be broadcast (24 bytes each); longer lists are joined by shuffle.
@@ -37,6 +43,7 @@ BROADCAST_IDS = 500_000
 #: Elements handled at once (SLOTS bytes each).
 CHUNK = 100_000
 
+_PREFIX = ["key", "rep", "n", "pos", "p1", "p2", "p3", *[f"m{w}" for w in range(WORDS)]]
 _LOW = np.uint64(0xFFFFFFFF)
 _32 = np.uint64(32)
 
@@ -133,7 +140,7 @@ def _sets(k: int):
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, rep, n, pos, p1, p2, p3; the last are the shingles before): the shingles of each set that any set of enough
+    """(key, rep, n, pos, p1, p2, p3, m0...; p are the shingles before, m the bitmap of the set): the shingles of each set that any set of enough
     similarity must share one of: with all shingles in one fixed order, the
     first n - ceil(percent * n / 100) + 1. Shingles of many sets come last in
     that order, so that a passage that many documents have makes no pairs. The
@@ -145,7 +152,7 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     counts = sets.mapInArrow(_count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")).where(
         F.col("c") >= least).toArrow().sort_by("key")
     table = spark.sparkContext.broadcast((counts.column("key").to_numpy(), counts.column("c").to_numpy()))
-    return sets.mapInArrow(_first(table, percent), "key long, rep long, n long, pos long, p1 long, p2 long, p3 long")
+    return sets.mapInArrow(_first(table, percent), ", ".join(f"{c} long" for c in _PREFIX))
 
 
 def _count(batches):
@@ -156,13 +163,23 @@ def _count(batches):
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(c)], names=["key", "c"])
 
 
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """``WORDS`` words a set (one row each): a bit tells whether an odd number of
+    its elements fall on it. Two sets have no fewer different elements than
+    their bitmaps have different bits."""
+    bit = np.concatenate([np.zeros(0, np.int64), *sets]).view(np.uint64) % np.uint64(64 * WORDS)
+    at = np.repeat(np.arange(len(sets)), [len(s) for s in sets]) * (64 * WORDS) + bit.astype(np.int64)
+    odd = np.bincount(at, minlength=len(sets) * 64 * WORDS) % 2 == 1
+    return np.packbits(odd, bitorder="little").view(np.int64).reshape(len(sets), WORDS)
+
+
 def _first(table, percent: int):
     def run(batches):
         known, count = table.value
         for batch in batches:
             rep, keys = batch.column("rep").to_pylist(), []
-            for x in batch.column("items"):
-                x = np.frombuffer(x.as_buffer(), np.int64)
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("items")]
+            for x in sets:
                 rank = np.zeros(len(x), np.int64)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, x), len(known) - 1)
@@ -174,13 +191,34 @@ def _first(table, percent: int):
             pos = np.concatenate([np.zeros(0, np.int64), *[np.arange(x) for x in n]])
             before = [pa.array(np.concatenate([np.zeros(min(k, len(flat)), np.int64), flat[:-k]]), mask=pos < k)
                       for k in (1, 2, 3)]
+            maps = [pa.array(np.repeat(m, n)) for m in np.concatenate([bitmaps(sets[at:at + 1000]) for at in range(0, len(sets), 1000)]
+                                                                      or [np.zeros((0, WORDS), np.int64)]).T]
             yield pa.RecordBatch.from_arrays([
                 pa.array(flat), pa.array(np.repeat(rep, n).astype(np.int64)),
-                pa.array(np.repeat(batch.column("n").to_numpy(), n)), pa.array(pos), *before],
-                names=["key", "rep", "n", "pos", "p1", "p2", "p3"])
+                pa.array(np.repeat(batch.column("n").to_numpy(), n)), pa.array(pos), *before, *maps],
+                names=_PREFIX)
     return run
 
 
+def _in_pieces(rows: DataFrame, fits, percent: int) -> DataFrame:
+    """Pairs (a, b) of rows of one key that ``fits``. Sets that are similar
+    enough are of the same or the next class of sizes; a class of a key is cut
+    into pieces of about ``OPEN`` rows, each of which meets the smaller sets of
+    its and the class before. A piece is all that a task holds at once, and the
+    pieces of a key go to different tasks."""
+    # a little wider than need be, for rounding
+    width = max(math.log(100 / percent), 1e-3) * (1 + 1e-9)
+    rows = rows.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / width))
+    pieces = rows.groupBy("key", "class").agg(F.ceil(F.count(F.lit(1)) / OPEN).alias("pieces"))
+    larger = rows.join(pieces, ["key", "class"]).withColumn("piece", F.pmod(F.xxhash64("rep"), "pieces")).drop("pieces")
+    smaller = (rows.withColumn("class", F.explode(F.array("class", F.col("class") + 1))).join(pieces, ["key", "class"])
+               .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))).drop("pieces"))
+    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("key", "class", "piece")]
+    order = F.expr("l.n < r.n or (l.n = r.n and l.rep < r.rep)")
+    return smaller.alias("l").join(larger.alias("r"), same[0] & same[1] & same[2] & order & fits).select(
+        F.least("l.rep", "r.rep").alias("a"), F.greatest("l.rep", "r.rep").alias("b"))
+
+
 def _verify(percent: int):
     def run(batches):
         for batch in batches:
@@ -240,36 +278,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     waiting = marked.join(several.select("key"), "key", "left_semi").select("rep", "n").distinct()
     waiting = materialize(sets.join(waiting, "rep"), "waiting")
     open_ = materialize(_prefixes(waiting, percent), "prefixes")
-    while True:
+    # what is left of both sets from their first common shingle on must be enough
+    fits = ((F.least("l.n", "r.n") * 100 >= percent * F.greatest("l.n", "r.n"))
+            & (F.least(F.expr("l.n - l.pos"), F.expr("r.n - r.pos")) * (100 + percent)
+               >= percent * F.expr("l.n + r.n")) & (F.col("l.top") != F.col("r.top"))
+            # and so must be the elements that may be equal by the bitmaps
+            & (F.expr(" + ".join(f"bit_count(l.m{w} ^ r.m{w})" for w in range(WORDS))) * (100 + percent)
+               <= (100 - percent) * F.expr("l.n + r.n"))
+            # a pair with a common shingle just before has been listed there
+            & ~F.expr("coalesce(l.p1 = r.p1 or l.p1 = r.p2 or l.p2 = r.p1 or l.p1 = r.p3 or l.p3 = r.p1, false)"))
+    for last in (False, True):
         marked = open_.join(tops.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "key", "rep", "n", "pos", "p1", "p2", "p3", F.coalesce("top", "rep").alias("top"))
+            *_PREFIX, F.coalesce("top", "rep").alias("top"))
         sizes = marked.groupBy("key", "top").agg(F.count(F.lit(1)).alias("c"))
         need = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("groups"), F.sum("c").alias("c")).where("groups > 1")
         need = need.select("key", (F.col("c") > OPEN).alias("hot"))
         open_ = materialize(marked.join(need, "key"), "open")
-        # what is left of both sets from their first common shingle on must be enough
-        fits = ((F.least("l.n", "r.n") * 100 >= percent * F.greatest("l.n", "r.n"))
-                & (F.least(F.expr("l.n - l.pos"), F.expr("r.n - r.pos")) * (100 + percent)
-                   >= percent * F.expr("l.n + r.n")) & (F.col("l.top") != F.col("r.top"))
-                # a pair with a common shingle just before has been listed there
-                & ~F.expr("coalesce(l.p1 = r.p1 or l.p1 = r.p2 or l.p2 = r.p1 or l.p1 = r.p3 or l.p3 = r.p1, false)"))
         few, many = open_.where("not hot"), open_.where("hot")
-        pairs = few.alias("l").join(few.alias("r"), (F.col("l.key") == F.col("r.key"))
-                                    & (F.col("l.rep") < F.col("r.rep")) & fits).select(
-            F.col("l.rep").alias("a"), F.col("r.rep").alias("b"))
-        centre = many.groupBy("key").agg(F.min(F.struct("rep", "n", "pos", "p1", "p2", "p3", "top")).alias("c")).select("key", "c.*")
-        rest = many.alias("r").join(centre.alias("l"), (F.col("l.key") == F.col("r.key"))
-                                    & (F.col("l.rep") < F.col("r.rep")))
-        pairs = materialize(pairs.unionByName(rest.where(fits).select(
-            F.col("l.rep").alias("a"), F.col("r.rep").alias("b"))).distinct(), "pairs")
+        if last:        # the keys that had many members, whatever is left of them
+            pairs = _in_pieces(open_, fits, percent)
+        else:
+            centre = many.groupBy("key").agg(F.min(F.struct("rep", *[c for c in _PREFIX if c not in ("key", "rep")], "top"))
+                                             .alias("c")).select("key", "c.*")
+            rest = many.alias("r").join(centre.alias("l"), (F.col("l.key") == F.col("r.key"))
+                                        & (F.col("l.rep") < F.col("r.rep")))
+            pairs = few.alias("l").join(few.alias("r"), (F.col("l.key") == F.col("r.key"))
+                                        & (F.col("l.rep") < F.col("r.rep")) & fits).select(
+                F.col("l.rep").alias("a"), F.col("r.rep").alias("b"))
+            pairs = pairs.unionByName(rest.where(fits).select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")))
+        pairs = materialize(pairs.distinct(), "pairs")
         if pairs.take(1):
             more = materialize(linked(pairs), "verified")
             if more.take(1):
                 links = links.unionByName(more)
                 tops = components(links)
-        if not many.take(1):
+        if last or not many.take(1):
             break
-        open_ = materialize(rest.select(*[f"r.{c}" for c in ("key", "rep", "n", "pos", "p1", "p2", "p3")]), "rest")
+        open_ = materialize(rest.select(*[f"r.{c}" for c in _PREFIX]), "rest")
     named = classes.join(tops, classes["rep"] == tops["node"], "left").select(
         "d1", "d2", F.coalesce("top", "rep").alias("component"))
     whole = rows.select("id", "n", F.when(F.expr("n > 0 and id is not null"), F.col("d1")).alias("d1"), "d2")
